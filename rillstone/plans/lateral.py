@@ -90,11 +90,12 @@ def lateral_inner(spark, sf):
 @register(
     "lateral_left",
     parts_sql(BLANKED)
-    + """select s.id, s.ts, k.word, cast(length(k.word) as int) as length
+    + """select s.id, s.ts, k.word, coalesce(cast(length(k.word) as int), -1) as length
     from src s left join kept k using (seq)""",
 )
 def lateral_left(spark, sf):
-    return lateral_split(blanked(spark, sf), "id", "_", ["id", "ts"], outer=True)
+    joined = lateral_split(blanked(spark, sf), "id", "_", ["id", "ts"], outer=True)
+    return joined.withColumn("length", F.coalesce("length", F.lit(-1)))
 
 
 @register(

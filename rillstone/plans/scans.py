@@ -19,10 +19,10 @@ def parse_sensor_csv(spark, sf):
 @register(
     "parse_sensor_quarantine",
     with_(SENSOR, MAIL)
-    + """select false as good, null as id, null as "timestamp", null as temperature,
+    + """select false as good, null as id, null as ts, null as temperature,
     '{"appKey":"' || "appKey" || '","appVersion":"' || "appVersion" || '","deviceId":"' || "deviceId"
     || '","phoneNo":"' || "phoneNo" || '"}' as line from mail
-    union all select true, id, "timestamp", temperature, null from sensor""",
+    union all select true, id, cast("timestamp" as varchar), temperature, null from sensor""",
 )
 def parse_sensor_quarantine(spark, sf):
     mixed = tables.sensor_lines(spark, sf).unionAll(tables.mail_json(spark, sf))
@@ -30,7 +30,7 @@ def parse_sensor_quarantine(spark, sf):
     both = good.withColumn("good", F.lit(True)).unionByName(
         bad.withColumn("good", F.lit(False)), allowMissingColumns=True
     )
-    return both.select("good", "id", "timestamp", "temperature", "line")
+    return both.select("good", "id", F.col("timestamp").cast("string").alias("ts"), "temperature", "line")
 
 
 @register("parse_user_behavior_csv", with_(BEHAVIOR) + "select * from behavior")

@@ -38,11 +38,12 @@ def classified(spark, sf):
     return late.late_classify(rows, time_ms(), ARRIVAL, Blocks.fit(rows, "arrival_ms"), 15_000, 20, 60_000)
 
 
-@register("watermark_trace", with_(SENSOR) + TRACE + "select seq, time_ms, watermark from traced")
+@register("watermark_trace", with_(SENSOR) + TRACE + "select seq, time_ms, coalesce(watermark, -1) as watermark from traced")
 def watermark_trace(spark, sf):
     rows = arrivals(spark, sf)
     traced = late.watermark_trace(rows, time_ms(), ARRIVAL, Blocks.fit(rows, "arrival_ms"), 20)
-    return traced.select("seq", time_ms().alias("time_ms"), "watermark")
+    mark = F.coalesce("watermark", F.lit(-1).cast("bigint"))
+    return traced.select("seq", time_ms().alias("time_ms"), mark.alias("watermark"))
 
 
 @register(
