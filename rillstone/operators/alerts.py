@@ -9,12 +9,13 @@ from rillstone.operators.blocks import Blocks, over_preceding, running, running_
 
 
 def temp_jump_alert(
-    df: DataFrame, key: str, value: str, order: str, blocks: Blocks, threshold: float = 10.0
+    df: DataFrame, key: str, value: str, order: str, blocks: Blocks, threshold: float = 10.0,
+    initial: DataFrame | None = None,
 ) -> DataFrame:
     """(key, last, current) where consecutive values differ by the threshold or more."""
     with_last = over_preceding(
         df.select(key, order, value), [key], [order], blocks, 1, [value],
-        {"last_temp": lambda w: F.lag(value).over(w)},
+        {"last_temp": lambda w: F.lag(value).over(w)}, initial,
     )
     jumped = F.abs(F.col(value) - F.col("last_temp")) >= threshold
     return with_last.filter(jumped).select(key, order, "last_temp", F.col(value).alias("cur_temp"))

@@ -89,14 +89,22 @@ def _order_key(order: Sequence[str]) -> Column:
 
 def running(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], blocks: Blocks,
-    measures: Mapping[str, Running],
+    measures: Mapping[str, Running], initial: DataFrame | None = None,
 ) -> DataFrame:
-    """Add running aggregates per key in the given order (`order[0]` is the block column)."""
+    """Add running aggregates per key in the given order (`order[0]` is the block column).
+
+    `initial` holds what came before these rows, as `running_state` gives it.
+    """
     keys = list(keys)
     slots = {name: f"__m{i}" for i, name in enumerate(measures)}
     cut = df.withColumn(BLOCK, blocks.of())
 
     summary = cut.groupBy(*keys, BLOCK).agg(*[m.part.alias(slots[n]) for n, m in measures.items()])
+    if initial is not None:
+        before = [F.col(n).alias(slots[n]) for n in measures]
+        summary = summary.unionByName(
+            initial.select(*keys, F.lit(None).cast("bigint").alias(BLOCK), *before)
+        )
     # One row per (key, block): small, and bounded by the number of blocks for any key.
     earlier = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     seeds = (
@@ -104,9 +112,9 @@ def running(
             *keys,
             BLOCK,
             *[m.fold(F.col(slots[n])).over(earlier).alias(slots[n]) for n, m in measures.items()],
-            F.lag(BLOCK).over(Window.partitionBy(*keys).orderBy(BLOCK)).alias("__earlier"),
+            F.row_number().over(Window.partitionBy(*keys).orderBy(BLOCK)).alias("__earlier"),
         )
-        .filter(F.col("__earlier").isNotNull())
+        .filter(F.col("__earlier") > 1)
         .drop("__earlier")
         .withColumn(IS_ROW, F.lit(False))
     )
@@ -128,18 +136,40 @@ def running(
     return folded.filter(IS_ROW).drop(IS_ROW)
 
 
+def running_state(
+    df: DataFrame, keys: Sequence[str], measures: Mapping[str, Running], initial: DataFrame | None = None
+) -> DataFrame:
+    """The folded value of every measure per key after all rows: what the next rows start from."""
+    keys = list(keys)
+    state = df.groupBy(*keys).agg(*[m.part.alias(n) for n, m in measures.items()])
+    if not keys:
+        state = state.filter(F.exists(F.array(*[F.col(n).isNotNull() for n in measures]), lambda x: x))
+    if initial is None:
+        return state
+    both = state.withColumn("__age", F.lit(1)).unionByName(initial.withColumn("__age", F.lit(0)))
+    by_age = Window.partitionBy(*keys).orderBy("__age")  # two rows per key at most
+    whole = by_age.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    folded = both.select(
+        *keys, *[m.fold(F.col(n)).over(whole).alias(n) for n, m in measures.items()],
+        F.row_number().over(by_age).alias("__nth"),
+    )
+    return folded.filter("__nth = 1").drop("__nth")
+
+
 def over_preceding(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], blocks: Blocks, n: int,
     columns: Sequence[str], exprs: Mapping[str, Callable[[WindowSpec], Column]],
+    initial: DataFrame | None = None,
 ) -> DataFrame:
     """Add window expressions that look back at most n rows of the key.
 
     `columns` are the columns the expressions read. Each expression gets the window, ordered,
-    to which it may add a frame such as `rowsBetween(-n, 0)`.
+    to which it may add a frame such as `rowsBetween(-n, 0)`. `initial` holds the rows that
+    came before, as `preceding_state` gives them.
     """
     keys, order = list(keys), list(order)
     cut = df.withColumn(BLOCK, blocks.of())
-    held = list(dict.fromkeys([*order, *columns]))
+    held = _held(order, columns)
 
     last = Window.partitionBy(*keys, BLOCK).orderBy(*[F.desc(c) for c in order])
     tails = (
@@ -149,6 +179,9 @@ def over_preceding(
         .groupBy(*keys, BLOCK)
         .agg(F.collect_list(F.struct(*held)).alias("__tail"))  # at most n per group
     )
+    if initial is not None:
+        given = initial.groupBy(*keys).agg(F.collect_list(F.struct(*held)).alias("__tail"))
+        tails = tails.unionByName(given.withColumn(BLOCK, F.lit(None).cast("bigint")))
     # Every block of a key holds a row, so its n predecessors lie in the n blocks before it.
     earlier = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(-n, -1)
     carried = F.flatten(F.collect_list("__tail").over(earlier))
@@ -163,3 +196,21 @@ def over_preceding(
     window = Window.partitionBy(*keys, BLOCK).orderBy(*order)
     looked = rows.select(*df.columns, IS_ROW, *[fn(window).alias(a) for a, fn in exprs.items()])
     return looked.filter(IS_ROW).drop(IS_ROW)
+
+
+def preceding_state(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, columns: Sequence[str],
+    initial: DataFrame | None = None,
+) -> DataFrame:
+    """The last n rows per key, those the next rows look back at."""
+    wanted = list(dict.fromkeys([*keys, *_held(order, columns)]))
+    rows = df.select(*wanted)
+    if initial is not None:
+        rows = rows.unionByName(initial.select(*wanted))
+    last = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in order])
+    ranked = rows.withColumn("__rn", F.row_number().over(last))
+    return ranked.filter(F.col("__rn") <= n).drop("__rn")
+
+
+def _held(order: Sequence[str], columns: Sequence[str]) -> list[str]:
+    return list(dict.fromkeys([*order, *columns]))

@@ -5,26 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillstone.operators.blocks import Blocks, running, running_count, running_sum
+from rillstone.operators.blocks import Blocks, Running, running, running_count, running_sum
 
 
-def retract_changelog(df: DataFrame, key: str, value: str, order: str, blocks: Blocks) -> DataFrame:
+def avg_count_measures(value: str) -> dict[str, Running]:
+    """Sum, non-null count and count of a value, with and without the current record."""
+    seen = F.col(value).isNotNull().cast("bigint")
+    return {
+        "new_sum": running_sum(F.col(value)),
+        "new_seen": running_sum(seen),
+        "new_n": running_count(),
+        "old_sum": running_sum(F.col(value), before=True),
+        "old_seen": running_sum(seen, before=True),
+        "old_n": running_count(before=True),
+    }
+
+
+def retract_changelog(
+    df: DataFrame, key: str, value: str, order: str, blocks: Blocks, initial: DataFrame | None = None
+) -> DataFrame:
     """Per record: delete the key's old (avg, count), add the new one.
 
     The first record of a key has nothing to delete, and an unchanged result is not sent.
     """
-    seen = F.col(value).isNotNull().cast("bigint")
-    state = running(
-        df.select(key, order, value), [key], [order], blocks,
-        {
-            "new_sum": running_sum(F.col(value)),
-            "new_seen": running_sum(seen),
-            "new_n": running_count(),
-            "old_sum": running_sum(F.col(value), before=True),
-            "old_seen": running_sum(seen, before=True),
-            "old_n": running_count(before=True),
-        },
-    )
+    rows = df.select(key, order, value)
+    state = running(rows, [key], [order], blocks, avg_count_measures(value), initial)
 
     def row(op: bool, side: str):
         avg = F.col(f"{side}_sum") / F.nullif(F.col(f"{side}_seen"), F.lit(0))

@@ -7,19 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillstone.operators.blocks import Blocks, running, running_max
+from rillstone.operators.blocks import Blocks, Running, running, running_max
 
 ON_TIME, ALLOWED, TOO_LATE = "on_time", "allowed", "late"
 
 
 def watermark_trace(
     df: DataFrame, time_ms: Column, order: Sequence[str], blocks: Blocks, bound_ms: int,
-    shard: Sequence[str] = (),
+    shard: Sequence[str] = (), initial: DataFrame | None = None,
 ) -> DataFrame:
     """Add the watermark in force when each row arrives: the maximum event time before it
     less the bound, per source shard; null for a shard's first row."""
-    out = running(df, shard, order, blocks, {"__max": running_max(time_ms, before=True)})
-    return out.withColumn("watermark", F.col("__max") - bound_ms).drop("__max")
+    out = running(df, shard, order, blocks, latest_time(time_ms), initial)
+    return out.withColumn("watermark", F.col("latest_ms") - bound_ms).drop("latest_ms")
+
+
+def latest_time(time_ms: Column) -> dict[str, Running]:
+    return {"latest_ms": running_max(time_ms, before=True)}
 
 
 def window_end_of(time_ms: Column, size_ms: int) -> Column:
@@ -37,9 +41,10 @@ def late_class(window_end: Column, watermark: Column, lateness_ms: int) -> Colum
 
 def late_classify(
     df: DataFrame, time_ms: Column, order: Sequence[str], blocks: Blocks, size_ms: int,
-    bound_ms: int, lateness_ms: int, shard: Sequence[str] = (),
+    bound_ms: int, lateness_ms: int, shard: Sequence[str] = (), initial: DataFrame | None = None,
 ) -> DataFrame:
-    traced = watermark_trace(df, time_ms, order, blocks, bound_ms, shard)
+    """Add the end of each row's tumbling window and the row's late class."""
+    traced = watermark_trace(df, time_ms, order, blocks, bound_ms, shard, initial)
     end = window_end_of(time_ms, size_ms)
     return traced.select(
         "*", end.alias("window_end"), late_class(end, F.col("watermark"), lateness_ms).alias("late_class")

@@ -51,7 +51,7 @@ def keyed_running_count(df: DataFrame, keys: Sequence[str], order: Sequence[str]
 
 
 def over_rows(df: DataFrame, key: str, order: Sequence[str], blocks: Blocks, preceding: int,
-              count_of: str, avg_of: str) -> DataFrame:
+              count_of: str, avg_of: str, initial: DataFrame | None = None) -> DataFrame:
     """Count and average over the current record and the `preceding` records before it."""
 
     def frame(w):
@@ -61,15 +61,17 @@ def over_rows(df: DataFrame, key: str, order: Sequence[str], blocks: Blocks, pre
         df, [key], order, blocks, preceding, [count_of, avg_of],
         {"cnt": lambda w: F.count(count_of).over(frame(w)),
          "avg_temp": lambda w: F.avg(avg_of).over(frame(w))},
+        initial,
     )
 
 
 def last_n_text(df: DataFrame, key: str, order: str, blocks: Blocks, n: int, value: Column,
-                name: str = "last_values") -> DataFrame:
+                name: str = "last_values", initial: DataFrame | None = None) -> DataFrame:
     """The last n values of the key up to each record, joined by commas."""
     held = df.withColumn("__v", value)
     out = over_preceding(
         held, [key], [order], blocks, n - 1, ["__v"],
         {name: lambda w: F.concat_ws(",", F.collect_list("__v").over(w.rowsBetween(1 - n, 0)))},
+        initial,
     )
     return out.drop("__v")

@@ -125,10 +125,7 @@ def rename(spark, sf):
     return rename_for_sink(text.json_to_mail(tables.mail_json(spark, sf)))
 
 
-@register(
-    "retract_changelog",
-    with_(SENSOR)
-    + f"""
+CHANGELOG_SQL = with_(SENSOR) + f"""
 , run as (
   select id, seq, avg(temperature) over w as new_avg, count(*) over w as new_n
   from sensor window w as (partition by id order by seq rows unbounded preceding)),
@@ -138,8 +135,10 @@ pairs as (
 select id, seq, false as op, {rounded_sql('old_avg')} as avg_temp, old_n as cnt
 from pairs where old_n is not null
 union all
-select id, seq, true, {rounded_sql('new_avg')}, new_n from pairs""",
-)
+select id, seq, true, {rounded_sql('new_avg')}, new_n from pairs"""
+
+
+@register("retract_changelog", CHANGELOG_SQL)
 def changelog(spark, sf):
     changes = retract_changelog(tables.sensor(spark, sf), "id", "temperature", "seq", tables.SEQ_BLOCKS)
     return changes.withColumn("avg_temp", rounded("avg_temp"))

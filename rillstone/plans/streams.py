@@ -2,18 +2,38 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
-from rillstone.plans.catalog import WORDS, register, rounded, with_
-from rillstone.plans.event_windows import HOP_SQL, OVER_SQL, TOP_SQL, min_by_sql, end_sql, tumble_sql
-from rillstone.plans.stateful import CLASSES, JUMP_SQL, STATE_KINDS_SQL, SUBTASK_SQL
-from rillstone.plans.catalog import SENSOR
+from rillstone.operators import rolling
+from rillstone.operators.blocks import (
+    Blocks,
+    preceding_state,
+    running,
+    running_count,
+    running_max,
+    running_state,
+    running_sum,
+)
+from rillstone.plans.catalog import SENSOR, WORDS, register, rounded, with_
+from rillstone.plans.event_windows import HOP_SQL, OVER_SQL, TOP_SQL, end_sql, min_by_sql, tumble_sql
+from rillstone.plans.scans import CHANGELOG_SQL
+from rillstone.plans.stateful import CLASSES, JUMP_SQL, SHARDS, STATE_KINDS_SQL, SUBTASK_SQL
 from rillstone.schemas import DOCUMENTS, EVENTS
 from rillstone.sinks.writers import latest
 from rillstone.sources import tables
+from rillstone.sources.tables import SEQ_BLOCKS
 from rillstone.streaming import pipelines
-from rillstone.streaming.processors import JumpAlert, LateSplit, OverRows, RunningCount, StateKinds
-from rillstone.streaming.runner import Replay, open_replay, run_to_table, with_state
+from rillstone.streaming.carried import (
+    changelog_step,
+    jump_step,
+    late_step,
+    over_rows_step,
+    run_carried,
+    running_step,
+)
+from rillstone.streaming.runner import Replay, open_replay, run_to_table
 
 # The end row: a moment after any data, with values that no window result may keep.
 END_EVENT = "select -1L, timestamp_ntz'2999-01-01 00:00:00', -1L, 'end', 0D, '{}'"
@@ -69,35 +89,77 @@ def hot_items_stream(spark, sf):
     )
 
 
-def stateful(spark, sf, keys, processor, *extra):
-    rows = sensor_stream(spark, sf).select("*", *extra)
-    return run_to_table(with_state(rows, keys, processor)).drop("batch_id")
+DAY_MS = 86_400_000
 
 
 @register("keyed_state_kinds_stream", STATE_KINDS_SQL)
 def state_kinds_stream(spark, sf):
-    return stateful(spark, sf, ["id"], StateKinds(3)).withColumn("kind_sum", rounded("kind_sum"))
+    """All kinds of state at once, each carried from batch to batch."""
+
+    def step(batch, before):
+        parts = {name: None if before is None else before.filter(F.col("part") == name) for name in STATES}
+        per_id = running(batch, ["id"], ["seq"], SEQ_BLOCKS, id_measures(), parts["id"])
+        per_kind = running(per_id, ["id", "kind"], ["seq"], SEQ_BLOCKS, kind_measures(), parts["kind"])
+        out = rolling.last_n_text(per_kind, "id", "seq", SEQ_BLOCKS, 3, F.col("seq").cast("string"),
+                                  "last_seqs", parts["recent"])
+        with_text = batch.withColumn("__v", F.col("seq").cast("string"))
+        carry = {
+            "id": running_state(batch, ["id"], id_measures(), narrowed(parts["id"], "id", "n", "max_temp")),
+            "kind": running_state(batch, ["id", "kind"], kind_measures(),
+                                  narrowed(parts["kind"], "id", "kind", "kind_sum")),
+            "recent": preceding_state(with_text, ["id"], ["seq"], 2, ["__v"], parts["recent"]),
+        }
+        tagged = [state.withColumn("part", F.lit(name)) for name, state in carry.items()]
+        return out, reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+
+    out = run_carried(sensor_stream(spark, sf).select("id", "seq", "kind", "temperature"), step)
+    return out.select("id", "seq", "kind", "n", rounded("kind_sum").alias("kind_sum"), "max_temp", "last_seqs")
+
+
+STATES = ("id", "kind", "recent")
+
+
+def id_measures():
+    return {"n": running_count(), "max_temp": running_max(F.col("temperature"))}
+
+
+def kind_measures():
+    return {"kind_sum": running_sum(F.col("temperature"))}
+
+
+def narrowed(df, *columns):
+    return None if df is None else df.select(*columns)
 
 
 @register("temp_jump_alert_stream", JUMP_SQL)
 def jump_stream(spark, sf):
-    return stateful(spark, sf, ["id"], JumpAlert(10.0))
+    return run_carried(sensor_stream(spark, sf), jump_step("id", "temperature", "seq", SEQ_BLOCKS, 10.0))
 
 
 @register("over_rows_agg_stream", OVER_SQL)
 def over_rows_stream(spark, sf):
-    return stateful(spark, sf, ["id"], OverRows(2)).withColumn("avg_temp", rounded("avg_temp"))
+    out = run_carried(sensor_stream(spark, sf), over_rows_step("id", "seq", SEQ_BLOCKS, 2, "temperature"))
+    return out.select("id", "seq", (F.col("timestamp") * 1000).alias("rt_ms"), "cnt",
+                      rounded("avg_temp").alias("avg_temp"))
+
+
+@register("retract_changelog_stream", CHANGELOG_SQL)
+def changelog_stream(spark, sf):
+    out = run_carried(sensor_stream(spark, sf), changelog_step("id", "temperature", "seq", SEQ_BLOCKS))
+    return out.withColumn("avg_temp", rounded("avg_temp"))
 
 
 @register("subtask_counter_stream", SUBTASK_SQL)
 def subtask_stream(spark, sf):
-    return stateful(spark, sf, ["shard"], RunningCount(), (F.col("seq") % 4).cast("int").alias("shard"))
+    rows = sensor_stream(spark, sf).select((F.col("seq") % SHARDS).cast("int").alias("shard"), "seq")
+    step = running_step(["shard"], ["seq"], SEQ_BLOCKS, lambda: {"n": running_count()})
+    return run_carried(rows, step).withColumn("n", F.col("n") - 1)
 
 
 @register(
     "late_side_output", with_(SENSOR) + CLASSES + "select id, seq, window_end, late_class from classes"
 )
 def late_side_output(spark, sf):
-    """One source shard, as in the batch form, since the watermark is the shard's."""
-    tagged = stateful(spark, sf, ["shard"], LateSplit(15_000, 20, 60_000), F.lit(0).alias("shard"))
-    return tagged.select("id", "seq", "window_end", "late_class")
+    """Spark drops late rows without a trace, so they are told apart before any watermark."""
+    step = late_step("timestamp", ["arrival_ms", "seq"], Blocks("arrival_ms", DAY_MS), 15_000, 20, 60_000)
+    return run_carried(sensor_stream(spark, sf), step).select("id", "seq", "window_end", "late_class")

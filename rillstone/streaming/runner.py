@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StatefulProcessor
@@ -19,12 +19,15 @@ def use_rocksdb(spark: SparkSession) -> None:
 
 
 def open_replay(
-    spark: SparkSession, path: str, schema: str, files_per_trigger: int = 1000
+    spark: SparkSession, path: str, schema: str, limits: Mapping[str, str] | None = None
 ) -> DataFrame:
-    """A parquet table as a stream. The limit bounds a micro-batch, and with it what a keyed
-    processor sorts."""
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(path)
+    """A parquet table as a stream.
+
+    Without limits the table is one micro-batch, and no row is late whatever the order of its
+    files. `{"maxBytesPerTrigger": ...}` cuts it into batches, in file order: use it where files
+    are in time order. It also bounds what a keyed processor has to sort.
+    """
+    return spark.readStream.schema(schema).options(**(limits or {})).parquet(path)
 
 
 def with_state(
@@ -80,16 +83,17 @@ class Replay:
     below the watermark and hide it.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: str, files_per_trigger: int = 1000):
-        self.spark, self.path, self.schema = spark, path, schema
-        self.files_per_trigger = files_per_trigger
+    def __init__(
+        self, spark: SparkSession, path: str, schema: str, limits: Mapping[str, str] | None = None
+    ):
+        self.spark, self.path, self.schema, self.limits = spark, path, schema, limits
         self.home = shared_dir(spark, "replay")
         self.end_dir = f"{self.home}/end"
         # An empty table, so that the second source has a folder to look into.
         spark.createDataFrame([], schema).write.parquet(self.end_dir)
 
     def rows(self) -> DataFrame:
-        table = open_replay(self.spark, self.path, self.schema, self.files_per_trigger)
+        table = open_replay(self.spark, self.path, self.schema, self.limits)
         return table.unionByName(open_replay(self.spark, self.end_dir, self.schema))
 
     def run(
