@@ -35,16 +35,20 @@ class Blocks:
 
     @classmethod
     def fit(cls, df: DataFrame, column: str, rows: int = 1_000_000) -> Blocks:
-        """A width that keeps even the densest stretch of the column near `rows` rows.
+        """A width that keeps even the densest block within twice `rows` rows.
 
         Reads only this column; the driver gets a handful of numbers.
         """
         lo, hi, n = df.agg(F.min(column), F.max(column), F.count(column)).first()
         if not n or n <= rows:
             return cls(column, max(1, 2 * max(abs(lo or 0), abs(hi or 0)) + 1))
-        width = max(1, (hi - lo + 1) * rows // n)
-        densest = df.groupBy(F.expr(f"`{column}` div {width}L")).count().agg(F.max("count")).first()[0]
-        return cls(column, max(1, width * rows // max(densest, rows)))
+        blocks = cls(column, max(1, (hi - lo + 1) * rows // n))
+        while blocks.width > 1:
+            densest = df.groupBy(blocks.of()).count().agg(F.max("count")).first()[0]
+            if densest <= 2 * rows:
+                break
+            blocks = cls(column, max(1, blocks.width * rows // densest))
+        return blocks
 
 
 @dataclass(frozen=True)

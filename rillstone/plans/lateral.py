@@ -10,14 +10,16 @@ from rillstone.operators.words import lateral_split
 from rillstone.plans.catalog import SENSOR, register, rounded_sql, with_
 from rillstone.sources import tables
 
-HASH_SQL = with_(SENSOR) + """, h as (
+HASHED = with_(SENSOR) + """, h as (
   select id, "timestamp" as ts, (list_reduce(
     list_transform(string_split(id, ''), lambda c: cast(unicode(c) as bigint)),
     lambda h, c: (h * 31 + c) % 4294967296) * 13) % 4294967296 as u from sensor)
-select id, ts, cast(case when u >= 2147483648 then u - 4294967296 else u end as int) as hash from h"""
+, hashes as (
+  select id, ts, cast(case when u >= 2147483648 then u - 4294967296 else u end as int) as hash from h)
+"""
 
 
-@register("udf_hash_code", HASH_SQL)
+@register("udf_hash_code", HASHED + "select * from hashes")
 def udf_hash_code(spark, sf):
     return tables.sensor(spark, sf).select(
         "id", F.col("timestamp").alias("ts"), java_hash(F.col("id")).alias("hash")

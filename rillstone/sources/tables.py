@@ -68,7 +68,11 @@ def user_behavior_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mail_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").select(
+    return mail_json_from(table(spark, sf_dir, "customer"))
+
+
+def mail_json_from(customers: DataFrame) -> DataFrame:
+    return customers.select(
         F.to_json(
             F.struct(
                 F.col("c_mktsegment").alias("appKey"),
