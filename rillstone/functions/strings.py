@@ -27,7 +27,7 @@ def java_split(value: Column, sep: str, regex: bool = False) -> Column:
     """
     if len(sep) == 1 and not regex:
         # Trailing empties come from trailing separators, so one right-trim removes them.
-        body = F.rtrim(value, F.lit(sep))
+        body = F.rtrim(value) if sep == " " else F.rtrim(value, F.lit(sep))
         parts = F.split(body, _literal_pattern(sep), -1)
         return F.when((body == "") & (value != ""), F.slice(parts, 1, 0)).otherwise(parts)
     parts = F.split(value, sep if regex else _literal_pattern(sep), -1)

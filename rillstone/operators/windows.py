@@ -34,21 +34,67 @@ def tumble_min_by(df: DataFrame, key: str, time: str, size_ms: int, value: str,
     return grouped.select(key, window_end_ms("w"), *[F.col("r")[c].alias(c) for c in fields])
 
 
+# Up to this many panes per window get a column each in the two-step sliding count.
+MAX_PANE_COLUMNS = 64
+
+
 def hop_count(
     df: DataFrame, key: str, time: str, size_ms: int, slide_ms: int, when: Column | None = None,
     name: str = "cnt",
 ) -> DataFrame:
     """Count per key and sliding window: (key, window_end, count).
 
-    Counts panes of one slide first and then adds up the panes of each window, so what is
-    copied to the `size / slide` windows are pane counts and not records.
+    Records are counted once, in panes, and only pane counts reach the `size / slide` windows
+    they belong to.
 
     On a stream a condition is counted rather than filtered: a filter would move below the
     watermark, and then only matching records would advance it.
     """
+    if df.isStreaming:
+        return _hop_from_panes(df, key, time, size_ms, slide_ms, when, name)
+    if when is not None:
+        df = df.filter(when)
+    if size_ms % slide_ms == 0 and size_ms // slide_ms <= MAX_PANE_COLUMNS:
+        return _hop_from_cycles(df, key, time, size_ms, slide_ms, name)
+    return _hop_from_panes(df, key, time, size_ms, slide_ms, None, name)
+
+
+def _hop_from_cycles(
+    df: DataFrame, key: str, time: str, size_ms: int, slide_ms: int, name: str
+) -> DataFrame:
+    """Sliding counts from one row of running pane counts per key and cycle of one window size.
+
+    The window that ends with a cycle's pane j holds the panes up to j of that cycle and the
+    panes after j of the cycle before. So a cycle's row gives each of two cycles' windows a
+    partial sum, and just one row per key and cycle is shuffled, however many records it has.
+    """
+    panes = range(size_ms // slide_ms)
+    last = panes[-1]
+    placed = df.filter(F.col(time).isNotNull()).select(key, F.unix_millis(time).alias("ms")).select(
+        key,
+        F.expr(f"(ms - pmod(ms, {size_ms})) div {size_ms}").alias("cycle"),
+        F.expr(f"pmod(ms, {size_ms}) div {slide_ms}").alias("pane"),
+    )
+    upto = placed.groupBy(key, "cycle").agg(*[F.expr(f"count_if(pane <= {p}) as u{p}") for p in panes])
+
+    own = ", ".join(f"u{p} as w{p}" for p in panes)
+    following = ", ".join(f"u{last} - u{p} as w{p}" for p in panes)
+    spread = upto.select(
+        key,
+        F.expr(f"inline(array(struct(cycle, {own}), struct(cycle + 1 as cycle, {following})))"),
+    )
+    summed = spread.groupBy(key, "cycle").agg(*[F.expr(f"sum(w{p}) as w{p}") for p in panes])
+    sums = ", ".join(f"w{p}" for p in panes)
+    each = summed.select(key, "cycle", F.posexplode(F.expr(f"array({sums})")).alias("pane", name))
+    end = F.expr(f"cycle * {size_ms} + (pane + 1) * {slide_ms}")
+    return each.filter(F.col(name) > 0).select(key, end.alias("window_end"), name)
+
+
+def _hop_from_panes(
+    df: DataFrame, key: str, time: str, size_ms: int, slide_ms: int, when: Column | None, name: str
+) -> DataFrame:
+    """Sliding counts as a window over windows: any size and slide, batch or stream."""
     pane_ms = gcd(size_ms, slide_ms)
-    if when is not None and not df.isStreaming:
-        df, when = df.filter(when), None
     hits = F.count(F.lit(1)) if when is None else F.count_if(when)
     panes = (
         df.groupBy(key, F.window(time, duration(pane_ms)).alias("pane"))

@@ -144,21 +144,31 @@ def hot_items_topn(spark, sf):
 
 @register("hot_items_sql", TOP_SQL)
 def hot_items_sql(spark, sf):
-    """The pure SQL form, panes included."""
+    """Ranking in SQL over a view of the window counts."""
+    hot_counts(spark, sf).createOrReplaceTempView("agg")
+    return spark.sql(
+        """
+        select * from (
+          select *, row_number() over (partition by window_end order by cnt desc, itemId) as row_num
+          from agg)
+        where row_num <= 5"""
+    )
+
+
+@register("hot_items_pure_sql", TOP_SQL)
+def hot_items_pure_sql(spark, sf):
+    """The whole query in SQL."""
     rows = tables.user_behavior(spark, sf).withColumn("ts", F.timestamp_seconds("timestamp"))
     rows.createOrReplaceTempView("user_behavior")
     return spark.sql(
         """
-        with panes as (
-          select itemId, window(ts, '5 minutes') as pane, count(itemId) as hits
-          from user_behavior where behavior = 'pv' group by itemId, window(ts, '5 minutes')),
-        agg as (
-          select itemId, unix_millis(window(pane, '1 hour', '5 minutes').end) as window_end,
-            sum(hits) as cnt
-          from panes group by itemId, window(pane, '1 hour', '5 minutes'))
         select * from (
           select *, row_number() over (partition by window_end order by cnt desc, itemId) as row_num
-          from agg)
+          from (
+            select itemId, count(itemId) as cnt, unix_millis(w.end) as window_end
+            from (select itemId, window(ts, '1 hour', '5 minutes') as w
+                  from user_behavior where behavior = 'pv')
+            group by itemId, w))
         where row_num <= 5"""
     )
 

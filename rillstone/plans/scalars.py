@@ -151,7 +151,7 @@ def url_codec(spark, sf):
 
 REQUEST_SQL = (
     "'GET' || chr(10) || '*/*' || chr(10) || '' || chr(10) || '' || chr(10) || '2024-01-01 00:00:00'"
-    " || chr(10) || 'x-ca-key:' || page_id || chr(10) || 'x-ca-signature-method:HmacSHA256'"
+    " || chr(10) || 'x-app-key:' || page_id || chr(10) || 'x-signature-method:HmacSHA256'"
     " || chr(10) || regexp_extract(url, '^[a-z]+://[^/]*(/.*)$', 1)"
 )
 
@@ -159,7 +159,7 @@ REQUEST_SQL = (
 def request_parts():
     """The seven parts of a request, taken from a page's address."""
     headers = F.concat(
-        F.lit("x-ca-key:"), F.col("page_id").cast("string"), F.lit("\nx-ca-signature-method:HmacSHA256")
+        F.lit("x-app-key:"), F.col("page_id").cast("string"), F.lit("\nx-signature-method:HmacSHA256")
     )
     return [
         F.lit("GET"),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from rillstone.functions.timing import millis_of, seconds_of
 from rillstone.operators.blocks import Blocks
+from rillstone.schemas import TABLES
 
 ARRIVAL_STRIDE = 7919
 ARRIVAL_SPREAD_MS = 600_000
@@ -17,7 +18,8 @@ SEQ_BLOCKS = Blocks("seq", 1_000_000)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table of the folder, with its declared schema so that opening it runs no job."""
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def sensor_from(events: DataFrame) -> DataFrame:
