@@ -8,7 +8,8 @@ needs from earlier blocks enters it as a few extra rows:
   earlier blocks of its key, found from one small summary row per (key, block);
 * `over_preceding` gives every block copies of the n rows before it.
 
-After that an ordinary window function over (key, block) yields the exact result.
+After that an ordinary window function over (key, block) yields the exact result. Order
+columns must not be null.
 """
 
 from __future__ import annotations
@@ -175,13 +176,9 @@ def over_preceding(
     cut = df.withColumn(BLOCK, blocks.of())
     held = _held(order, columns)
 
-    last = Window.partitionBy(*keys, BLOCK).orderBy(*[F.desc(c) for c in order])
-    tails = (
-        cut.select(*keys, BLOCK, *[c for c in held if c not in keys])
-        .withColumn("__rn", F.row_number().over(last))
-        .filter(F.col("__rn") <= n)
-        .groupBy(*keys, BLOCK)
-        .agg(F.collect_list(F.struct(*held)).alias("__tail"))  # at most n per group
+    tails = _tails(cut, [*keys, BLOCK], order, n, held)
+    tails = tails.groupBy(*keys, BLOCK).agg(
+        F.collect_list(F.struct(*held)).alias("__tail")  # at most n per group
     )
     if initial is not None:
         given = initial.groupBy(*keys).agg(F.collect_list(F.struct(*held)).alias("__tail"))
@@ -211,8 +208,21 @@ def preceding_state(
     rows = df.select(*wanted)
     if initial is not None:
         rows = rows.unionByName(initial.select(*wanted))
-    last = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in order])
-    ranked = rows.withColumn("__rn", F.row_number().over(last))
+    return _tails(rows, list(keys), list(order), n, _held(order, columns)).select(*wanted)
+
+
+def _tails(
+    df: DataFrame, groups: list[str], order: list[str], n: int, held: Sequence[str]
+) -> DataFrame:
+    """The last n rows of every group."""
+    others = [c for c in held if c not in groups]
+    if n == 1 and len(order) == 1:
+        # Fixed-size aggregates: no sort, and combined before the shuffle.
+        at = order[0]
+        picks = [F.max(c) if c == at else F.max_by(c, at) for c in others]
+        return df.groupBy(*groups).agg(*[p.alias(c) for p, c in zip(picks, others)])
+    last = Window.partitionBy(*groups).orderBy(*[F.desc(c) for c in order])
+    ranked = df.select(*groups, *others, F.row_number().over(last).alias("__rn"))
     return ranked.filter(F.col("__rn") <= n).drop("__rn")
 
 

@@ -7,10 +7,32 @@ from pyspark.sql import functions as F
 from rillstone.operators.changelog import retract_changelog
 from rillstone.plans.catalog import BEHAVIOR, MAIL, SENSOR, register, rounded, rounded_sql, with_
 from rillstone.schemas import SENSOR as SENSOR_SCHEMA
+from rillstone.session import shared_dir
 from rillstone.sinks.formats import csv_value, rename_for_sink
 from rillstone.sources import connectors, tables, text
 
 
+@register(
+    "scan_text",
+    with_(BEHAVIOR)
+    + """select "userId" || ',' || "itemId" || ',' || "categoryId" || ',' || behavior || ',' || "timestamp"
+      as value from behavior""",
+)
+def scan_text(spark, sf):
+    """The click-stream written as a text file set and scanned."""
+    path = shared_dir(spark, "lines")
+    tables.user_behavior_lines(spark, sf).write.text(path)
+    return text.scan_text(spark, path)
+
+
+@register("scan_csv_table", with_(SENSOR) + 'select id, "timestamp", temperature from sensor')
+def scan_csv_table(spark, sf):
+    path = shared_dir(spark, "csv")
+    tables.sensor(spark, sf).select("id", "timestamp", "temperature").write.csv(path)
+    text.scan_csv_table(spark, path, "input_table")
+    return spark.sql("select * from input_table")
+
+
 @register("parse_sensor_csv", with_(SENSOR) + 'select id, "timestamp", temperature from sensor')
 def parse_sensor_csv(spark, sf):
     return text.parse_sensor_csv(tables.sensor_lines(spark, sf))

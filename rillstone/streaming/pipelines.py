@@ -30,6 +30,15 @@ def tumbling_min(df: DataFrame, size_ms: int, delay: str = "20 milliseconds") ->
     return windows.tumble_min_by(timed, "id", "rt", size_ms, "temperature", "seq")
 
 
+def tumbling_min_with_lateness(
+    df: DataFrame, size_ms: int, bound_ms: int, lateness_ms: int
+) -> DataFrame:
+    """Minima that rows late by up to the lateness still improve. Run in update mode: a window
+    is sent again whenever it changes, and its last version counts. Spark moves the watermark
+    between batches, so rows are refused no earlier than the batch after it passed them."""
+    return tumbling_min(df, size_ms, f"{bound_ms + lateness_ms} milliseconds")
+
+
 def tumbling_avg(df: DataFrame, size_ms: int, delay: str = "2 seconds") -> DataFrame:
     timed = with_event_time(df, delay=delay)
     return windows.tumble_agg(

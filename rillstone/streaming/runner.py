@@ -14,7 +14,7 @@ PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
 
 
 def use_rocksdb(spark: SparkSession) -> None:
-    """Keyed state with timers needs the RocksDB state store."""
+    """Keep state on local disk and in checkpoints, not on the heap; timers need this store."""
     spark.conf.set(PROVIDER_KEY, ROCKSDB_PROVIDER)
 
 
@@ -46,6 +46,7 @@ def run_batches(
 ) -> None:
     """Process all input there is, then stop. Called again with the same checkpoint, only
     what is new; a batch that had failed is written again over its own output."""
+    use_rocksdb(df.sparkSession)
     writer = each_batch(df, write, transform).outputMode(mode)
     query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()

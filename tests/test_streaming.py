@@ -270,6 +270,36 @@ def test_windows_in_one_batch_and_many(spark, sf, tmp_path):
         assert rows(out, "itemId", "window_end", "cnt") == want
 
 
+def test_allowed_lateness_updates_the_window(spark, tmp_path):
+    # One row per file and so per batch; windows of 10 s, bound 1 s, lateness 20 s.
+    made = [("a", 5, 9.0, 0), ("a", 22, 5.0, 1), ("a", 8, 3.0, 2), ("a", 60, 7.0, 3), ("a", 61, 6.0, 4), ("a", 9, 1.0, 5)]
+    df = spark.createDataFrame(made, "id string, timestamp bigint, temperature double, seq bigint")
+    folder = write_chunks(df, ["seq"], str(tmp_path / "late"), 6)
+    stream = open_replay(spark, folder, df._jdf.schema().toDDL(), ONE_FILE)
+    minima = pipelines.tumbling_min_with_lateness(stream, 10_000, 1000, 20_000)
+    sent = run_to_table(minima, "update")
+    assert rows(sent.filter("window_end = 10000"), "temperature") == [(3.0,), (9.0,)]
+    final = latest(sent, ["id", "window_end"])
+    classes = late.late_classify(df, F.col("timestamp") * 1000, ["seq"], BLOCKS, 10_000, 1000, 20_000)
+    want = late.min_by_with_lateness(classes, "id", "temperature", "seq")
+    assert rows(final, "window_end", "temperature", "seq") == rows(want, "window_end", "temperature", "seq")
+    assert rows(want, "window_end", "temperature") == [(10_000, 3.0), (30_000, 5.0), (70_000, 6.0)]
+
+
+def test_state_is_cleared_after_its_timer(spark, tmp_path):
+    """A window that fires, then gets rows again, starts anew."""
+    schema = "itemId bigint, window_end bigint, cnt bigint, at bigint"
+    folder = str(tmp_path / "again")
+    os.makedirs(folder)
+    for i, made in enumerate([[(1, 300_000, 5, 1)], [(9, 900_000, 1, 1000)], [(2, 300_000, 3, 2000)], [(9, 900_000, 1, 9000)]]):
+        add_file(spark.createDataFrame(made, schema), folder, i)
+    stream = open_replay(spark, folder, schema, ONE_FILE)
+    timed = stream.withColumn("closed", F.timestamp_seconds("at")).withWatermark("closed", "0 seconds")
+    out = run_to_table(with_state(timed, ["window_end"], proc.TopNPerWindow(5), "eventTime"))
+    sent = rows(out.filter("window_end = 300000"), "row_num", "itemId", "cnt")
+    assert sent == [(1, 1, 5), (1, 2, 3)]
+
+
 def test_table_stored_as_a_folder(spark, sf, tmp_path):
     split_events(spark, sf, tmp_path, 2)
     os.rename(tmp_path / "events2", tmp_path / "events.parquet")
