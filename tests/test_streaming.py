@@ -291,8 +291,11 @@ def test_state_is_cleared_after_its_timer(spark, tmp_path):
     schema = "itemId bigint, window_end bigint, cnt bigint, at bigint"
     folder = str(tmp_path / "again")
     os.makedirs(folder)
-    for i, made in enumerate([[(1, 300_000, 5, 1)], [(9, 900_000, 1, 1000)], [(2, 300_000, 3, 2000)], [(9, 900_000, 1, 9000)]]):
-        add_file(spark.createDataFrame(made, schema), folder, i)
+    # Timers fire in the batch after the one that moves the watermark, behind that batch's rows.
+    made = [(1, 300_000, 5, 1), (9, 900_000, 1, 1000), (9, 900_000, 1, 1500), (2, 300_000, 3, 2000),
+            (9, 900_000, 1, 9000)]
+    for i, row in enumerate(made):
+        add_file(spark.createDataFrame([row], schema), folder, i)
     stream = open_replay(spark, folder, schema, ONE_FILE)
     timed = stream.withColumn("closed", F.timestamp_seconds("at")).withWatermark("closed", "0 seconds")
     out = run_to_table(with_state(timed, ["window_end"], proc.TopNPerWindow(5), "eventTime"))
