@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from rillstone.operators import rolling
 from rillstone.operators.blocks import (
-    Blocks,
     preceding_state,
     running,
     running_count,
@@ -89,9 +88,6 @@ def hot_items_stream(spark, sf):
     )
 
 
-DAY_MS = 86_400_000
-
-
 @register("keyed_state_kinds_stream", STATE_KINDS_SQL)
 def state_kinds_stream(spark, sf):
     """All kinds of state at once, each carried from batch to batch."""
@@ -161,5 +157,5 @@ def subtask_stream(spark, sf):
 )
 def late_side_output(spark, sf):
     """Spark drops late rows without a trace, so they are told apart before any watermark."""
-    step = late_step("timestamp", ["arrival_ms", "seq"], Blocks("arrival_ms", DAY_MS), 15_000, 20, 60_000)
+    step = late_step("timestamp", ["arrival_ms", "seq"], 15_000, 20, 60_000)
     return run_carried(sensor_stream(spark, sf), step).select("id", "seq", "window_end", "late_class")

@@ -81,13 +81,17 @@ def changelog_step(key: str, value: str, order: str, blocks: Blocks) -> Step:
 
 
 def late_step(
-    time_s: str, order: Sequence[str], blocks: Blocks, size_ms: int, bound_ms: int, lateness_ms: int,
-    shard: Sequence[str] = (),
+    time_s: str, order: Sequence[str], size_ms: int, bound_ms: int, lateness_ms: int,
+    shard: Sequence[str] = (), block_rows: int = 1_000_000,
 ) -> Step:
-    """Late classes against the watermark per source shard, or of the whole stream."""
+    """Late classes against the watermark per source shard, or of the whole stream.
+
+    Arrival times are not dense, so the blocks are fitted to each batch.
+    """
 
     def step(batch, before):
         time_ms = F.col(time_s) * 1000
+        blocks = Blocks.fit(batch, order[0], block_rows)
         out = late.late_classify(
             batch, time_ms, order, blocks, size_ms, bound_ms, lateness_ms, shard, before
         )

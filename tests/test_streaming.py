@@ -115,7 +115,7 @@ def test_late_classes(spark, readings, tmp_path, n):
     assert {w[2] for w in want} == {"on_time", "allowed", "late"}
     tagged = keyed(spark, folder, ["shard"], proc.LateSplit(15_000, 20, 20_000), ONE_FILE, F.lit(0).alias("shard"))
     assert rows(tagged, "seq", "window_end", "late_class") == want
-    step = late_step("timestamp", ["arrival_ms", "seq"], Blocks("arrival_ms", 20_000), 15_000, 20, 20_000)
+    step = late_step("timestamp", ["arrival_ms", "seq"], 15_000, 20, 20_000, block_rows=20)
     carried = run_carried(open_replay(spark, folder, SENSOR, ONE_FILE), step)
     assert rows(carried, "seq", "window_end", "late_class") == want
 
