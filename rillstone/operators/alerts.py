@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillstone.operators.blocks import Blocks, over_preceding, running, running_sum
+from rillstone.operators.blocks import Blocks, over_preceding, running, running_max, running_sum
+from rillstone.session import shared_dir
 
 
 def temp_jump_alert(
@@ -21,13 +24,13 @@ def temp_jump_alert(
     return with_last.filter(jumped).select(key, order, "last_temp", F.col(value).alias("cur_temp"))
 
 
-def rising_alert_first(
-    df: DataFrame, key: str, value: str, time: str, order: str, blocks: Blocks, interval: int
+def _run_marks(
+    df: DataFrame, key: str, value: str, time: str, order: str, blocks: Blocks
 ) -> DataFrame:
-    """The first alert of every run without a fall: (key, start, fire).
+    """(key, run, time, rose, closes): the records of every run without a fall.
 
-    A run begins with a record lower than the one before it. Its timer starts at the first
-    rise and fires `interval` time units later, unless the next run has begun by then.
+    A run begins with a record lower than the one before it. Such a record opens its own run
+    and also appears, with `closes`, at the end of the run before.
     """
     steps = over_preceding(
         df.select(key, time, order, value), [key], [order], blocks, 1, [value],
@@ -37,17 +40,101 @@ def rising_alert_first(
     rose = F.coalesce(F.col(value) > F.col("__last"), F.lit(False))
     tagged = steps.select(key, order, time, fell.alias("fell"), rose.alias("rose"))
     runs = running(tagged, [key], [order], blocks,
-                   {"run": running_sum(F.col("fell").cast("bigint"))})
-    # A falling record opens its own run and closes the one before.
-    ended = F.when(F.col("fell"), F.array("run", F.col("run") - 1)).otherwise(F.array("run"))
-    marks = runs.select(key, time, "rose", F.col("run").alias("own"), F.explode(ended).alias("run"))
+                   {"own": running_sum(F.col("fell").cast("bigint"))})
+    belongs = F.when(F.col("fell"), F.array("own", F.col("own") - 1)).otherwise(F.array("own"))
+    marks = runs.select(key, time, "rose", "own", F.explode(belongs).alias("run"))
+    return marks.select(key, "run", time, "rose", (F.col("own") > F.col("run")).alias("closes"))
+
+
+def _run_spans(marks: DataFrame, key: str, time: str) -> DataFrame:
+    """(key, run, start, last_rise, fall) of every run that rises."""
+    rise = F.when(F.col("rose") & ~F.col("closes"), F.col(time))
     spans = marks.groupBy(key, "run").agg(
-        F.min(F.when(F.col("rose") & (F.col("own") == F.col("run")), F.col(time))).alias("start"),
-        F.min(F.when(F.col("own") > F.col("run"), F.col(time))).alias("fall"),
+        F.min(rise).alias("start"),
+        F.max(rise).alias("last_rise"),
+        F.min(F.when(F.col("closes"), F.col(time))).alias("fall"),
     )
+    return spans.filter(F.col("start").isNotNull())
+
+
+def _fired(starts: DataFrame, key: str, interval: int) -> DataFrame:
     fire = F.col("start") + interval
-    alerting = F.col("start").isNotNull() & (F.col("fall").isNull() | (F.col("fall") > fire))
-    return spans.filter(alerting).select(key, "start", fire.alias("fire"))
+    return starts.filter(F.col("fall").isNull() | (F.col("fall") > fire)).select(
+        key, "start", fire.alias("fire")
+    )
+
+
+def rising_alert_first(
+    df: DataFrame, key: str, value: str, time: str, order: str, blocks: Blocks, interval: int
+) -> DataFrame:
+    """The first alert of every run without a fall: (key, start, fire).
+
+    Its timer starts at the run's first rise and fires `interval` time units later, unless the
+    next run has begun by then.
+    """
+    marks = _run_marks(df, key, value, time, order, blocks)
+    return _fired(_run_spans(marks, key, time), key, interval)
+
+
+# Rises of a run have distinct times, so this bounds the rows of a block of one run.
+RISE_BLOCK = 500_000
+
+
+def rising_alerts(
+    df: DataFrame, key: str, value: str, time: str, order: str, blocks: Blocks, interval: int
+) -> DataFrame:
+    """Every alert: after one has fired, the run's next rise starts a new timer.
+
+    Runs whose rises span more than the interval may alert repeatedly. There each rise points
+    to the first rise after its own timer; the starts are those reached from the first rise.
+    They are found by doubling the pointers' length, in as many rounds as the logarithm of
+    the longest chain, each round written to the shared folder.
+    """
+    spark = df.sparkSession
+    home = shared_dir(spark, "rising")
+
+    def stored(table: DataFrame, name: str) -> DataFrame:
+        table.write.parquet(f"{home}/{name}")
+        return spark.read.parquet(f"{home}/{name}")
+
+    at = [key, "run"]
+    marks = _run_marks(df, key, value, time, order, blocks)
+    spans = stored(_run_spans(marks, key, time), "spans")
+    repeating = F.col("last_rise") > F.col("start") + interval
+    rises = marks.filter(F.col("rose") & ~F.col("closes")).select(*at, F.col(time).alias("t")).distinct()
+    rises = rises.join(spans.filter(repeating).select(*at), at, "left_semi")
+
+    reached = spans.filter(repeating).select(*at, F.col("start").alias("t"))
+    jumps = stored(_next_rises(rises, at, interval), "jumps_0")
+    found = [reached]
+    turn = 0
+    while not jumps.isEmpty():
+        turn += 1
+        # What the chain has so far leads, one jump on, to as many new starts.
+        known = reduce(DataFrame.unionByName, found)
+        found.append(stored(known.join(jumps, [*at, "t"]).select(*at, F.col("to").alias("t")), f"found_{turn}"))
+        onward = jumps.select(*at, F.col("t").alias("to"), F.col("to").alias("far"))
+        jumps = stored(jumps.join(onward, [*at, "to"]).select(*at, "t", F.col("far").alias("to")),
+                       f"jumps_{turn}")
+    starts = reduce(DataFrame.unionByName, found).withColumnRenamed("t", "start")
+    repeated = starts.join(spans.drop("start"), at)
+    once = spans.filter(~repeating)
+    return _fired(once.unionByName(repeated), key, interval)
+
+
+def _next_rises(rises: DataFrame, at: list[str], interval: int) -> DataFrame:
+    """(.., t, to): for each rise the first one of its run later than `t + interval`.
+
+    Rises and timer ends are put in falling order of time, where the rise sought is the last
+    one seen; a timer's end comes before a rise at the same moment.
+    """
+    rise = rises.select(*at, (-F.col("t")).alias("back"), F.lit(1).alias("kind"),
+                        (-F.col("t")).alias("seen"), F.lit(None).cast("bigint").alias("t"))
+    end = rises.select(*at, (-F.col("t") - interval).alias("back"), F.lit(0).alias("kind"),
+                       F.lit(None).cast("bigint").alias("seen"), "t")
+    near = running(rise.unionByName(end), at, ["back", "kind"], Blocks("back", RISE_BLOCK),
+                   {"near": running_max(F.col("seen"))})
+    return near.filter("kind = 0 and near is not null").select(*at, "t", (-F.col("near")).alias("to"))
 
 
 def timer_set(

@@ -15,7 +15,7 @@ from rillstone.operators.blocks import Blocks
 from rillstone.plans.catalog import BEHAVIOR, HOPS, MAIL, SENSOR, WORDS, register, rounded, rounded_sql, with_
 from rillstone.plans.event_windows import end_sql
 from rillstone.plans.lateral import HASHED
-from rillstone.plans.stateful import CLASSES
+from rillstone.plans.stateful import CLASSES, RUNS
 from rillstone.schemas import CUSTOMER, SENSOR as SENSOR_SCHEMA
 from rillstone.sinks.formats import csv_value, rename_for_sink
 from rillstone.sources import connectors, tables, text
@@ -139,18 +139,8 @@ def sensor_alerts_job(readings: DataFrame, threshold: float, interval: int, spli
 @register(
     "job_sensor_alerts",
     with_(SENSOR)
-    + """, steps as (
-      select id, seq, "timestamp" as ts, temperature as v,
-        lag(temperature) over (partition by id order by seq) as last from sensor),
-    runs as (
-      select *, sum(case when v < last then 1 else 0 end) over (partition by id order by seq
-        rows unbounded preceding) as run from steps),
-    spans as (
-      select id, run, min(ts) as opened, min(case when v > last then ts end) as start
-      from runs group by id, run),
-    ends as (
-      select *, lead(opened) over (partition by id order by run) as fall from spans)
-    select 'jump' as part, id, count(*) as n from steps where abs(v - last) >= 10 group by id
+    + RUNS
+    + """select 'jump' as part, id, count(*) as n from steps where abs(v - last) >= 10 group by id
     union all select 'rising', id, count(*) from ends
       where start is not null and (fall is null or fall > start + 600) group by id
     union all select case when temperature > 30 then 'high' else 'low' end, id, count(*)

@@ -169,24 +169,47 @@ def process_element_timers(spark, sf):
     return alerts.timer_set(tables.sensor(spark, sf), "id", "timestamp", "seq", 10, 100)
 
 
+RUNS = """, steps as (
+  select id, seq, "timestamp" as ts, temperature as v,
+    lag(temperature) over (partition by id order by seq) as last from sensor),
+runs as (
+  select *, sum(case when v < last then 1 else 0 end) over (partition by id order by seq
+    rows unbounded preceding) as run from steps),
+spans as (
+  select id, run, min(ts) as opened, min(case when v > last then ts end) as start
+  from runs group by id, run),
+ends as (
+  select *, lead(opened) over (partition by id order by run) as fall from spans)"""
+
+
 @register(
     "rising_temp_alert",
     with_(SENSOR)
-    + """, steps as (
-      select id, seq, "timestamp" as ts, temperature as v,
-        lag(temperature) over (partition by id order by seq) as last from sensor),
-    runs as (
-      select *, sum(case when v < last then 1 else 0 end) over (partition by id order by seq
-        rows unbounded preceding) as run from steps),
-    spans as (
-      select id, run, min(ts) as opened, min(case when v > last then ts end) as start
-      from runs group by id, run),
-    ends as (
-      select *, lead(opened) over (partition by id order by run) as fall from spans)
-    select id, start, start + 600 as fire from ends
+    + RUNS
+    + """select id, start, start + 600 as fire from ends
     where start is not null and (fall is null or fall > start + 600)""",
 )
 def rising_temp_alert(spark, sf):
+    """The first alert of each run, ten minutes after its first rise."""
     return alerts.rising_alert_first(
         tables.sensor(spark, sf), "id", "temperature", "timestamp", "seq", SEQ_BLOCKS, 600
     )
+
+
+@register(
+    "rising_temp_alert_repeated",
+    with_(SENSOR).replace("with ", "with recursive ", 1)
+    + RUNS
+    + """, chain as (
+      select id, run, start from spans where start is not null
+      union all
+      select c.id, c.run, min(r.ts) from chain c join runs r using (id, run)
+      where r.v > r.last and r.ts > c.start + 18000 group by c.id, c.run)
+    select c.id, c.start, c.start + 18000 as fire from chain c join ends e using (id, run)
+    where e.fall is null or e.fall > c.start + 18000""",
+)
+def rising_temp_alert_repeated(spark, sf):
+    """All alerts, five hours after a rise."""
+    return alerts.rising_alerts(
+        tables.sensor(spark, sf), "id", "temperature", "timestamp", "seq", SEQ_BLOCKS, 18_000
+    )

@@ -167,6 +167,10 @@ END = [("end", 10**9, 0.0, 10**9, "a", 0)]
 def test_rising_alerts(spark, readings, tmp_path, first_counts):
     ended = readings.union(spark.createDataFrame(END, SENSOR))
     want = simulate_rising(readings.collect(), 12, first_counts)
+    if not first_counts:
+        for width in (9, 10_000):
+            batch = alerts.rising_alerts(readings, "id", "temperature", "timestamp", "seq", Blocks("seq", width), 12)
+            assert rows(batch, "id", "start", "fire") == want
     for n in (1, 5):
         folder = write_chunks(ended, ["seq"], str(tmp_path / f"r{n}"), n)
         assert rising_stream(spark, folder, 12, ONE_FILE, first_counts) == want
@@ -192,6 +196,17 @@ def test_rising_edges(spark, tmp_path):
     assert [(k, f) for k, _, f in got if k != "twice"] == [("after", 115), ("equal", 115)]
     first = alerts.rising_alert_first(df.filter("id <> 'end'"), "id", "temperature", "timestamp", "seq", BLOCKS, 10)
     assert rows(first, "id", "fire") == [("after", 115), ("equal", 115), ("twice", 115)]
+    every = alerts.rising_alerts(df.filter("id <> 'end'"), "id", "temperature", "timestamp", "seq", BLOCKS, 10)
+    assert rows(every) == got
+
+
+def test_one_long_rise(spark, monkeypatch):
+    """A key that only rises, with pointers cut into blocks."""
+    monkeypatch.setattr(alerts, "RISE_BLOCK", 25)
+    made = [("up", 100 + 2 * i, float(i), i) for i in range(300)]
+    df = spark.createDataFrame(made, "id string, timestamp bigint, temperature double, seq bigint")
+    got = alerts.rising_alerts(df, "id", "temperature", "timestamp", "seq", BLOCKS, 9)
+    assert rows(got) == simulate_rising(df.collect(), 9) and len(rows(got)) == 60
 
 
 def test_timers_and_context(spark, readings, tmp_path):
