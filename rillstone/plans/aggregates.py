@@ -11,8 +11,8 @@ from rillstone.plans.catalog import BEHAVIOR, SENSOR, WORDS, register, rounded,
 from rillstone.sources import tables
 from rillstone.sources.tables import SEQ_BLOCKS
 
-# A document holds some thousands of words, so this bounds a block of any one word.
-DOC_BLOCKS = Blocks("doc_id", 1_000)
+# A document holds at most some thousands of words, which bounds a block of any one word.
+DOC_BLOCKS = Blocks("doc_id", 10_000)
 
 
 @register("word_count", with_(WORDS) + "select word, count(*) as cnt from words group by word")

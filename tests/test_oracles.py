@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import glob
 import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -13,6 +15,7 @@ from check import comparable
 
 QUERIES = entry.queries()
 SQL = entry.oracle_sql()
+REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
 @pytest.fixture(scope="module")
@@ -38,3 +41,20 @@ def test_query(spark, sf, db, key):
 
 def test_entry(spark):
     assert entry.entry(spark).columns == ["itemId", "window_end", "cnt", "row_num"]
+
+
+def test_python_workers_need_no_installation(sf, tmp_path):
+    """User functions reach the workers from a session started elsewhere, with plain settings."""
+    script = f"""
+import sys; sys.path.insert(0, {REPO!r})
+from pyspark.sql import SparkSession
+import __spark_entry__ as entry
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+for key in ("aggregate_function_surface", "udtf_split_user", "partition_setup_map"):
+    print(key, entry.queries()[key](spark, {sf!r}).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True,
+                          text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert done.stdout.count("\n") == 3
