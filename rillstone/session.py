@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -40,11 +39,11 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for checkpoints and written tables.
 
     It lies under `spark.checkpoint.dir`, which on a cluster is storage every executor
-    sees. Only where that is unset (tests on one machine) is a temporary folder used.
+    sees. Where that is unset on one machine, it lies in the warehouse, which is shared too.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to storage that all executors share")
-        base = tempfile.gettempdir()
+        base = spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/rillstone-{purpose}-{uuid.uuid4().hex}"
