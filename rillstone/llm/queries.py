@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
-from rillstone.llm import mixing, rule_ledger
+import public_tokenizers
+
+from rillstone.llm import mixing, rule_ledger, sentencepiece_backend, token_store, whole_tokens
 from rillstone.llm.common import table
 
+WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+
 QUERIES = {
+    "op2_token_store": lambda spark, sf: token_store.op2(table(spark, sf, "documents"), WORD_VOCABULARY),
     "op3_mix_sources": lambda spark, sf: mixing.op3(table(spark, sf, "documents")),
+    "op4_sentencepiece": lambda spark, sf: sentencepiece_backend.op4(table(spark, sf, "documents"), PIECES),
+    "op8_token_counts": lambda spark, sf: whole_tokens.op8(table(spark, sf, "documents"), BYTE_VOCABULARY),
     "op9_rule_ledger": lambda spark, sf: rule_ledger.op9(table(spark, sf, "documents")),
 }
 
