@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from rillstone.llm import minhash_join, mixing, rule_ledger, sentence_spans, sentencepiece_backend, token_store, whole_tokens
+from rillstone.llm import minhash_join, mixing, pivot_topk, quality_ftrl, rule_ledger, sentence_spans, sentencepiece_backend, token_store, whole_tokens
 from rillstone.llm.common import table
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -15,6 +15,8 @@ QUERIES = {
     "op2_token_store": lambda spark, sf: token_store.op2(table(spark, sf, "documents"), WORD_VOCABULARY),
     "op3_mix_sources": lambda spark, sf: mixing.op3(table(spark, sf, "documents")),
     "op4_sentencepiece": lambda spark, sf: sentencepiece_backend.op4(table(spark, sf, "documents"), PIECES),
+    "op5_quality_ftrl": lambda spark, sf: quality_ftrl.op5(table(spark, sf, "documents"), table(spark, sf, "labels")),
+    "op6_pivot_topk": lambda spark, sf: pivot_topk.op6(table(spark, sf, "embeddings")),
     "op7_minhash_join": lambda spark, sf: minhash_join.op7(table(spark, sf, "documents")),
     "op8_token_counts": lambda spark, sf: whole_tokens.op8(table(spark, sf, "documents"), BYTE_VOCABULARY),
     "op10_sentence_spans": lambda spark, sf: sentence_spans.op10(table(spark, sf, "documents")),
@@ -23,5 +25,6 @@ QUERIES = {
 
 ORACLES = {
     "op3_mix_sources": mixing.ORACLE,
+    "op6_pivot_topk": pivot_topk.ORACLE,
     "op9_rule_ledger": rule_ledger.ORACLE,
 }
