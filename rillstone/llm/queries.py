@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from rillstone.llm import minhash_join, mixing, pivot_topk, quality_ftrl, rule_ledger, sentence_spans, sentencepiece_backend, token_store, whole_tokens
+from rillstone.llm import langid_crf, minhash_join, mixing, pivot_topk, quality_ftrl, rule_ledger, sentence_spans, sentencepiece_backend, token_store, whole_tokens
 from rillstone.llm.common import table
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -12,6 +12,7 @@ BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 QUERIES = {
+    "op1_langid_crf": lambda spark, sf: langid_crf.op1(table(spark, sf, "documents")),
     "op2_token_store": lambda spark, sf: token_store.op2(table(spark, sf, "documents"), WORD_VOCABULARY),
     "op3_mix_sources": lambda spark, sf: mixing.op3(table(spark, sf, "documents")),
     "op4_sentencepiece": lambda spark, sf: sentencepiece_backend.op4(table(spark, sf, "documents"), PIECES),
