@@ -5,7 +5,8 @@ are rebuilt as a tokenizer, for unigram and for pair-merge models. Where the pie
 token can span the start of a word, texts are cut there and each distinct part is encoded once per
 worker, in multithreaded batches. Each part's ids are compared with those of the
 sentencepiece library when it is first met; a part on which they differ keeps the latter's ids
-and is counted, so ids are always the model's own.
+and is reported, so ids are always the model's own. (The unigram core matches the names of control and
+byte pieces in a text, which the model doesn't, so there such names take that way.)
 
 Defined results: null texts stay null when decoded and have no ids; empty texts have no ids; lone
 spaces, unknown characters and long texts are encoded whole; repeated rows and null ids are encoded row
@@ -135,7 +136,7 @@ def build_tokenizer(model: Model):
     if model.charsmap:
         steps.append(normalizers.Precompiled(model.charsmap))
     if model.single_spaces:
-        steps += [normalizers.Strip(), normalizers.Replace(Regex(" {2,}"), " ")]
+        steps += [normalizers.Replace(Regex("^ +| +$"), ""), normalizers.Replace(Regex(" {2,}"), " ")]
     if model.dummy_prefix:
         steps.append(normalizers.Prepend(MARK if model.escape else " "))
     if model.escape:

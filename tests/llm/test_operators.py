@@ -1,0 +1,418 @@
+"""Every operator against a plain version of itself, on the smallest tables."""
+
+from __future__ import annotations
+
+import itertools
+import re
+import struct
+import zlib
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pyarrow.parquet as pq
+import pytest
+import sentencepiece
+from check import comparable
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from rillstone.llm import (
+    langid_crf, minhash_join, mixing, pivot_topk, quality_ftrl, queries, rule_ledger, sentence_spans,
+    sentencepiece_backend, token_store, whole_tokens,
+)
+from rillstone.llm.common import Workspace, table
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+@pytest.fixture(scope="module")
+def docs(spark, sf):
+    return table(spark, sf, "documents")
+
+
+@pytest.fixture(scope="module")
+def texts(sf):
+    return dict(duckdb.connect().execute(f"select doc_id, text from '{sf}/documents.parquet'").fetchall())
+
+
+@pytest.mark.parametrize("key", sorted(queries.ORACLES))
+def test_against_sql(spark, sf, key):
+    db = duckdb.connect()
+    for name in ("documents", "embeddings"):
+        db.execute(f"create view {name} as select * from '{sf}/{name}.parquet'")
+    got, want = queries.QUERIES[key](spark, sf).toPandas(), db.execute(queries.ORACLES[key]).df()
+    assert sorted(got.columns) == sorted(want.columns)
+    assert comparable(got) == comparable(want)
+
+
+# 1: languages
+
+
+def plain_posteriors(model, scores):
+    def total(x, axis):
+        return np.log(np.exp(x - x.max(axis, keepdims=True)).sum(axis)) + x.max(axis)
+
+    forward, state = np.zeros_like(scores), np.zeros(scores.shape[1])
+    for t in range(len(scores)):
+        state = total(state[:, None] + model.transitions, 0) + scores[t]
+        forward[t] = state
+    out, state = np.zeros_like(scores), np.zeros(scores.shape[1])
+    for t in range(len(scores) - 1, -1, -1):
+        both = forward[t] + state
+        out[t] = np.exp(both - total(both, 0))
+        state = total(model.transitions + (scores[t] + state)[None], 1)
+    return out
+
+
+def test_posteriors_are_exact_at_any_length():
+    random = np.random.default_rng(1)
+    model = langid_crf.Crf(["a", "b", "c"], np.zeros((4, 3)), {}, np.zeros((3, 3)), random.normal(size=(3, 3)))
+    sizes = np.array([3, langid_crf.PIECE, 1, langid_crf.PIECE + 1, 700])
+    scores = random.normal(size=(sizes.sum(), 3)) * 3
+    got, ends = model.posteriors(scores, sizes), np.cumsum(sizes)
+    for a, b in zip(ends - sizes, ends):
+        assert np.allclose(got[a:b], plain_posteriors(model, scores[a:b]))
+
+
+def test_languages_of_held_out_documents(spark, sf, docs):
+    rows = langid_crf.op1(docs).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    held = [r for r in rows if r["held_out"]]
+    assert {r["doc_id"] for r in held} == {r["doc_id"] for r in rows if zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2}
+    assert np.mean([r["lang_pred"] == r["lang"] for r in held]) > 0.95
+    assert all(0 <= r["score"] <= 1 for r in rows)
+
+
+def test_words_of_a_switching_text_are_labelled(spark, docs, texts):
+    model = langid_crf.train(docs)
+    by_lang = {r["lang"]: r["text"] for r in docs.where("n_chars > 800").collect()}
+    one, two = (by_lang[x].split()[:40] for x in sorted(by_lang)[:2])
+    frame = spark.createDataFrame([(1, " ".join(one + ["12"] + two))], "doc_id long, text string")
+    labels = langid_crf.label_words(frame, model).first()["labels"]
+    first, second = sorted(by_lang)[:2]
+    assert labels[40] is None
+    assert labels[:40].count(first) > 30 and labels[41:].count(second) > 30
+
+
+# 2: token store
+
+
+def test_store_holds_the_tokenizers_ids_in_order(docs, texts):
+    tokenizer = Tokenizer.from_file(queries.WORD_VOCABULARY)
+    at, want = 0, []
+    for doc_id in sorted(texts):
+        ids = tokenizer.encode(texts[doc_id], add_special_tokens=False).ids + [2]
+        want.append((doc_id, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    assert sorted(map(tuple, token_store.op2(docs, queries.WORD_VOCABULARY).collect())) == want
+
+
+HARD = ["", "  ", "<|endoftext|>hi <|startoftext|>b", "don't I'M ''s", "a\xa0b c\x1cd \x85", "ΑΣ ΣΑΣ é é ́", "İstanbul ﬁ ²³ ªº ×÷",
+        "Ɓ ſ ß 日本語 😀", "\t\n a  \n\n b ", "x" * 3000, "a1b22c333"]
+
+
+def test_hard_texts_have_the_tokenizers_ids_and_counts():
+    words = token_store.WordIds(queries.WORD_VOCABULARY)
+    want = words.tokenizer.encode_batch(HARD, add_special_tokens=False)
+    assert [np.frombuffer(b, "<i4").tolist() for b in words.encode(HARD)] == [e.ids for e in want]
+    counts = whole_tokens.TokenCounts(queries.BYTE_VOCABULARY, whole_tokens.whole_tokens(queries.BYTE_VOCABULARY))
+    want = counts.tokenizer.encode_batch(HARD, add_special_tokens=False)
+    assert counts.count(HARD) == [len(e.ids) for e in want]
+
+
+@pytest.mark.parametrize("encoding", ["dictionary", "delta"])
+def test_store_layout_and_selective_reads(spark, docs, encoding):
+    path = f"{Workspace(spark, 'layout').path}/store"
+    token_store.write_store(
+        token_store.encode(docs, queries.WORD_VOCABULARY), path, encoding, token_store.LAYOUT | {"parquet.page.row.count.limit": "20"}
+    )
+    file = next(f["path"] for f in map(lambda r: {"path": r[0]}, spark.read.parquet(path).select(F.input_file_name()).distinct().collect()))
+    meta = pq.ParquetFile(file.removeprefix("file://")).metadata.row_group(0)
+    by_name = {meta.column(i).path_in_schema: meta.column(i) for i in range(meta.num_columns)}
+    ids = by_name["ids.list.element"]
+    assert ids.has_column_index and ids.has_offset_index
+    assert any("DICTIONARY" in e for e in ids.encodings) == (encoding == "dictionary")
+    assert "DELTA_BINARY_PACKED" in by_name["n_tokens"].encodings
+    some = token_store.read_tokens(spark, path, 10, 12)
+    assert sorted(r["doc_id"] for r in some.collect()) == [10, 11, 12]
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(doc_id,10)" in plan
+    plan = token_store.read_metadata(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert "ids:array" not in plan
+
+
+# 3: mixing
+
+
+def reshared(sizes, weights, share=1.5, cap=2):
+    """Targets by resharing again and again."""
+    target, left, active = dict.fromkeys(sizes, 0.0), share * sum(sizes.values()), set(sizes)
+    while left > 1e-9 and active:
+        total = sum(weights[s] for s in active)
+        for s in active:
+            target[s] += left * weights[s] / total
+        left = 0.0
+        for s in list(active):
+            if target[s] >= cap * sizes[s]:
+                left += target[s] - cap * sizes[s]
+                target[s] = float(cap * sizes[s])
+                active.discard(s)
+    return target
+
+
+def test_mix_meets_its_targets(spark, docs, texts):
+    rows = mixing.op3(docs).join(docs.select("doc_id", "source"), "doc_id").collect()
+    sizes = defaultdict(int)
+    for r in rows:
+        assert r["size"] == len(WORD.findall(texts[r["doc_id"]])) and 0 <= r["taken"] <= 2 * r["size"]
+        sizes[r["source"]] += r["size"]
+    weights = {s: (3, 1, 2)[i % 3] for i, s in enumerate(sorted(sizes))}
+    want = reshared(dict(sizes), weights)
+    taken = defaultdict(int)
+    for r in rows:
+        assert r["target"] == pytest.approx(want[r["source"]]) and r["source_size"] == sizes[r["source"]]
+        taken[r["source"]] += r["taken"]
+    for s, n in taken.items():
+        assert abs(n - want[s]) <= 1
+    assert sorted(map(tuple, mixing.op3(docs.repartition(7)).collect())) == sorted(map(tuple, mixing.op3(docs).collect()))
+
+
+def test_ranges_do_not_change_the_mix(docs):
+    def plan(n):
+        return sorted(map(tuple, mixing.plan_mix(docs, mixing.n_words("text"), ranges=n).collect()))
+
+    assert plan(1) == plan(10) == plan(10**6)
+
+
+def test_mixed_documents_stay_whole_and_near_their_targets(docs, texts):
+    mixed = mixing.mix_documents(docs)
+    assert mixed.columns == docs.columns
+    targets = {r["source_size"]: r["target"] for r in mixing.op3(docs).collect()}
+    got = mixed.groupBy("source").agg(F.sum(mixing.n_words("text")).alias("n")).collect()
+    sizes = docs.groupBy("source").agg(F.sum(mixing.n_words("text")).alias("n"), F.max(mixing.n_words("text")).alias("most")).collect()
+    size = {r["source"]: (r["n"], r["most"]) for r in sizes}
+    for r in got:
+        assert abs(r["n"] - targets[size[r["source"]][0]]) <= size[r["source"]][1]
+    assert {r["text"] for r in mixed.collect()} <= set(texts.values())
+
+
+# 4: SentencePiece
+
+
+def test_ids_are_those_of_sentencepiece(docs, texts):
+    model = sentencepiece.SentencePieceProcessor(model_file=queries.PIECES)
+    for r in sentencepiece_backend.op4(docs, queries.PIECES).collect():
+        ids = model.encode(texts[r["doc_id"]])
+        assert r["n_tokens"] == len(ids) and r["ids_crc32"] == zlib.crc32(np.array(ids, "<i4").tobytes())
+        assert r["parity"] and r["round_trip"]
+    encoded = sentencepiece_backend.encode(docs, queries.PIECES)
+    assert {r["doc_id"]: r["text"] for r in sentencepiece_backend.decode(encoded, queries.PIECES).collect()} == texts
+
+
+SPACED = ["", " ", "  ", " lead", "trail  ", "a  b   c", "x\ny\n\n z", "▁ ▁a", "日本語 😀", "\x01 tab\t", "aaa aaaaaaa bbbb", "<s> <0x41>"]
+
+
+def message(fields):
+    """A protobuf message of (number, kind, value)."""
+
+    def varint(n):
+        out = b""
+        while n > 127:
+            out, n = out + bytes([n & 127 | 128]), n >> 7
+        return out + bytes([n])
+
+    out = b""
+    for number, kind, value in fields:
+        out += varint(number << 3 | kind)
+        out += varint(value) if kind == 0 else value if kind == 5 else varint(len(value)) + value
+    return out
+
+
+def unigram_model(prefix=1, single=0):
+    words = ["▁", "a", "b", "c", "ab", "abc", "▁a", "▁ab", "bc", "d", "▁the", "t", "h", "e", "▁t", "he"]
+    pieces = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3)]
+    pieces += [(f"<0x{i:02X}>", -20.0, 6) for i in range(256)]
+    pieces += [(w, -1.0 - 0.37 * i, 1) for i, w in enumerate(words)]
+    out = [(1, 2, message([(1, 2, p.encode()), (2, 5, struct.pack("<f", s)), (3, 0, k)])) for p, s, k in pieces]
+    out.append((2, 2, message([(3, 0, 1), (4, 0, len(pieces)), (35, 0, 1), (40, 0, 0), (41, 0, 1), (42, 0, 2)])))
+    out.append((3, 2, message([(1, 2, b"identity"), (3, 0, prefix), (4, 0, single), (5, 0, 1)])))
+    return message(out)
+
+
+@pytest.mark.parametrize("raw", ["file", "unigram", "no prefix", "single spaces"])
+def test_hard_texts_and_other_models(raw):
+    made = {
+        "file": lambda: sentencepiece_backend.read_model(queries.PIECES), "unigram": unigram_model,
+        "no prefix": lambda: unigram_model(prefix=0), "single spaces": lambda: unigram_model(single=1),
+    }[raw]()
+    pieces = sentencepiece_backend.Pieces(made, 2)
+    oracle = sentencepiece.SentencePieceProcessor(model_proto=made)
+    few = [t for t in SPACED + ["abcabc the ab", "tthe he abd"] if raw != "single spaces" or t == " ".join(t.split())]
+    ids, same = pieces.encode(few)
+    assert [np.frombuffer(i, "<i4").tolist() for i in ids] == [oracle.encode(t) for t in few]
+    assert [t for t, ok in zip(few, same) if not ok] == ([] if raw == "file" else ["<s> <0x41>"])
+
+
+# 5: quality
+
+
+def test_quality_of_held_out_documents(spark, sf, docs):
+    labels = table(spark, sf, "labels")
+    rows = quality_ftrl.op5(docs, labels).join(labels, "doc_id").where("held_out").collect()
+    good = [r["score"] for r in rows if r["quality"] == 1]
+    poor = [r["score"] for r in rows if r["quality"] == 0]
+    assert np.mean([g > p for g, p in itertools.product(good, poor)]) > 0.95
+
+
+def test_held_out_labels_are_not_used(spark, sf, docs):
+    labels = table(spark, sf, "labels")
+    hidden = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    other = labels.withColumn("quality", F.when(hidden, 1 - F.col("quality")).otherwise(F.col("quality")))
+    assert (quality_ftrl.train(docs, labels) == quality_ftrl.train(docs, other)).all()
+
+
+# 6: top k
+
+
+def test_top_k_is_exact(spark):
+    random = np.random.default_rng(3)
+    rows = [(i, random.normal(size=8).tolist()) for i in range(400)]
+    rows += [(400 + i, rows[7][1]) for i in range(60)]  # ties
+    rows += [(500, None), (550, [1.0] * 7 + [None]), (600, [float("nan")] * 8), (650, [float("inf")] + [0.0] * 7), (700, [0.0] * 8), (750, [1.0, 2.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    whole = {i: np.floor(256 * np.array(v)) for i, v in rows if v and None not in v and np.isfinite(v).all()}
+    want = []
+    for q in sorted(whole):
+        if q % 50 == 0:
+            scored = sorted((-int(whole[q] @ v), i) for i, v in whole.items() if i != q and len(v) == len(whole[q]))
+            want += [(q, rank, i, -s) for rank, (s, i) in enumerate(scored[:5], 1)]
+    assert sorted(map(tuple, pivot_topk.op6(frame).collect())) == want
+
+
+def test_large_numbers_stay_exact(spark):
+    rows = [(0, [2.0**22, 1.0]), (1, [2.0**22, 3.0]), (2, [2.0**22, 2.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = pivot_topk.op6(frame).collect()
+    assert [(r["vec_id"], r["score"]) for r in got] == [(1, 2**60 + 3 * 2**16), (2, 2**60 + 2 * 2**16)]
+
+
+# 7: near duplicates
+
+
+def plain_components(texts, words, percent):
+    sets = {}
+    for i, text in texts.items():
+        w = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        sets[i] = {tuple(w[k : k + words]) for k in range(max(1, len(w) - words + 1))} if w else set()
+    inverted, common = defaultdict(list), Counter()
+    for i, s in sets.items():
+        for x in s:
+            inverted[x].append(i)
+    for found in inverted.values():
+        common.update(itertools.combinations(sorted(found), 2))
+    parent = {i: i for i in sets}
+
+    def top(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for (a, b), n in common.items():
+        if 100 * n >= percent * (len(sets[a]) + len(sets[b]) - n):
+            a, b = top(a), top(b)
+            parent[max(a, b)] = min(a, b)
+    return sorted((i, len(s), top(i), top(i) == i) for i, s in sets.items())
+
+
+def planted(texts):
+    """Copies, near copies and a chain of small changes beside the documents."""
+    random = np.random.default_rng(5)
+    more, words = dict(texts), [f"w{i}" for i in range(60)]
+    for i in range(40):
+        changed = list(words)
+        for k in random.choice(60, random.integers(0, 5), replace=False):
+            changed[k] = f"x{random.integers(1000)}"
+        more[10_000 + i] = " ".join(changed)
+    chain = [f"c{i}" for i in range(200)]
+    for i in range(12):
+        more[20_000 + i] = " ".join(chain[4 * i :] + [f"d{k}" for k in range(4 * i)])
+    return more | {30_000: None, 30_001: "", 30_002: "One", 30_003: "one", 30_004: "one two", 30_005: " \n "}
+
+
+@pytest.mark.parametrize("words, percent", [(3, 85), (5, 80)])
+def test_components_are_exact(spark, texts, words, percent):
+    more = planted(texts)
+    frame = spark.createDataFrame(list(more.items()), "doc_id long, text string").repartition(6)
+    want = plain_components(more, words, percent)
+    for block in (4, 256):
+        got = minhash_join.near_duplicates(frame, words, percent, block=block)
+        assert sorted(map(tuple, got.collect())) == want
+
+
+def test_threshold_misses_almost_nothing():
+    for similarity in (0.8, 0.85, 0.95):
+        m = minhash_join.match_threshold(similarity)
+        random = np.random.default_rng(0).binomial(minhash_join.COORDINATES, similarity, 200_000)
+        assert (random < m).mean() < 1e-4
+        assert m > 0.4 * minhash_join.COORDINATES
+
+
+# 8: token counts
+
+
+def test_counts_are_the_librarys(docs, texts):
+    tokenizer = Tokenizer.from_file(queries.BYTE_VOCABULARY)
+    for r in whole_tokens.op8(docs, queries.BYTE_VOCABULARY).collect():
+        n = len(tokenizer.encode(texts[r["doc_id"]], add_special_tokens=False).ids)
+        assert tuple(r)[1:] == (len(texts[r["doc_id"]].encode()), n, n > 1024)
+
+
+# 9: rules
+
+
+def test_ablation_counts(docs):
+    book = rule_ledger.ledger(docs)
+    bits = [r["failed"] for r in book.select("failed").collect()]
+    for r in rule_ledger.ablation(book, [rule_ledger.BASE, rule_ledger.STRICT]).collect():
+        policy = {1: rule_ledger.BASE, 2: rule_ledger.STRICT}[r["version"]]
+        bit = next(1 << x.bit for x in rule_ledger.RULES if x.name == r["rule"])
+        assert r["kept"] == sum(b & policy.mask == 0 for b in bits)
+        assert r["kept_without"] == sum(b & policy.mask & ~bit == 0 for b in bits)
+        assert r["failed_alone"] == sum(b & policy.mask == bit for b in bits)
+
+
+# 10: sentence spans
+
+
+def plain_cut(texts):
+    """Texts without repeats, by a walk over the documents in order of their ids."""
+    seen, out = {}, {}
+    for i in sorted(texts):
+        s = sentence_spans.Sentences(texts[i], sentence_spans.RUN, sentence_spans.LONGEST, sentence_spans.MIN_WORDS)
+        starts = [0, *s.ends[:-1]]
+        parts = [texts[i][a:b].lower().split() for a, b in zip(starts, s.ends)]
+        gone = set()
+        own = set()
+        for k in range(len(parts) - 2):
+            run = tuple(tuple(p) for p in parts[k : k + 3])
+            if sum(map(len, run)) < sentence_spans.MIN_WORDS:
+                continue
+            if seen.get(run, i) < i or run in own:
+                gone |= {k, k + 1, k + 2}
+            own.add(run)
+            seen.setdefault(run, i)
+        out[i] = ("".join(texts[i][a:b] for k, (a, b) in enumerate(zip(starts, s.ends)) if k not in gone), len(gone))
+    return out
+
+
+def test_repeated_sentences_are_cut(spark, docs, texts):
+    passage = "One long passage starts here, with a few words. " + " ".join(f"p{i}" for i in range(60)) + ". It ends so."
+    more = texts | {5000: "First text. " + passage + " Own end.", 5001: "Other\n" + passage + "\nmore", 5002: passage + " " + passage}
+    frame = spark.createDataFrame(list(more.items()), "doc_id long, text string").repartition(5)
+    want = plain_cut(more)
+    got = {r["doc_id"]: (r["text"], r["n_removed"]) for r in sentence_spans.op10(frame).collect()}
+    assert got == {i: w for i, w in want.items() if w[1]}
+    assert got[5001][0].split() == ["Other", "more"] and got[5002][0] == "" and 5000 not in got
+    whole = {r["doc_id"]: r["text"] for r in sentence_spans.remove_repeats(frame).collect()}
+    assert whole == {i: w[0] for i, w in want.items() if w[0].strip() or not w[1]}
