@@ -22,18 +22,41 @@ from pyspark.sql import functions as F
 
 BLOCK = "__block"
 IS_ROW = "__is_row"
+HEAVY = "__heavy"
+
+# Keys that are cut at most; their table is sent to all executors, so this bounds its size.
+HEAVY_KEYS = 10_000
 
 
 @dataclass(frozen=True)
 class Blocks:
-    """Blocks of `width` units of an integer column, the leading order column."""
+    """Blocks of `width` units of an integer column, the leading order column.
+
+    With `heavy_rows`, only keys with more rows than that are cut; all others stay whole, as in
+    a plain window, and need neither summaries nor seeds.
+    """
 
     column: str
     width: int
+    heavy_rows: int | None = None
 
     def of(self) -> Column:
         return F.expr(f"`{self.column}` div {self.width}L")
 
+    def cut(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """Add the block of every row, and whether its key is cut."""
+        if self.heavy_rows is None or not keys:
+            return df.withColumns({BLOCK: self.of(), HEAVY: F.lit(True)})
+        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > self.heavy_rows)
+        heavy = counts.orderBy(F.desc("__n"), *keys).limit(HEAVY_KEYS)
+        flagged = df.join(F.broadcast(heavy.select(*keys, F.lit(True).alias(HEAVY))), list(keys), "left")
+        return flagged.withColumns(
+            {
+                HEAVY: F.coalesce(F.col(HEAVY), F.lit(False)),
+                BLOCK: F.when(F.col(HEAVY), self.of()).otherwise(F.lit(0).cast("bigint")),
+            }
+        )
+
     @classmethod
     def fit(cls, df: DataFrame, column: str, rows: int = 1_000_000) -> Blocks:
         """A width that keeps even the densest block within twice `rows` rows.
@@ -102,9 +125,11 @@ def running(
     """
     keys = list(keys)
     slots = {name: f"__m{i}" for i, name in enumerate(measures)}
-    cut = df.withColumn(BLOCK, blocks.of())
+    cut = blocks.cut(df, keys)
 
-    summary = cut.groupBy(*keys, BLOCK).agg(*[m.part.alias(slots[n]) for n, m in measures.items()])
+    # A key in one block passes nothing on within these rows.
+    passing = cut if initial is not None else cut.filter(HEAVY)
+    summary = passing.groupBy(*keys, BLOCK).agg(*[m.part.alias(slots[n]) for n, m in measures.items()])
     if initial is not None:
         before = [F.col(n).alias(slots[n]) for n in measures]
         summary = summary.unionByName(
@@ -173,10 +198,11 @@ def over_preceding(
     came before, as `preceding_state` gives them.
     """
     keys, order = list(keys), list(order)
-    cut = df.withColumn(BLOCK, blocks.of())
+    cut = blocks.cut(df, keys)
     held = _held(order, columns)
 
-    tails = _tails(cut, [*keys, BLOCK], order, n, held)
+    passing = cut if initial is not None else cut.filter(HEAVY)
+    tails = _tails(passing, [*keys, BLOCK], order, n, held)
     tails = tails.groupBy(*keys, BLOCK).agg(
         F.collect_list(F.struct(*held)).alias("__tail")  # at most n per group
     )

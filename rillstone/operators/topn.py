@@ -82,19 +82,15 @@ def limit_rows(df: DataFrame, order: Sequence[Column | str], n: int) -> DataFram
     return df.orderBy(*order).limit(n)
 
 
-# Pages that start beyond this row are found by counting instead of by a sorted prefix.
-DIRECT_PAGE_ROWS = 100_000
+def page_rows(df: DataFrame, order: Sequence[str], page: int, size: int, blocks: Blocks | None = None) -> DataFrame:
+    """Page `page` (from 1) of `size` rows in the order of the given columns, an integer first.
 
-
-def page_rows(df: DataFrame, key: str, page: int, size: int, blocks: Blocks | None = None) -> DataFrame:
-    """Page `page` (from 1) of `size` rows in the order of an integer key.
-
-    Early pages are a top-n. A deep page would drag its whole prefix into one task, so there
-    each row's position is counted block-wise and the page is a filter on it.
+    Rows that tie in all of them follow the hash of the whole row, so every page is cut from one
+    total order and the pages hold each row once. Positions are counted block-wise at any
+    depth; no task sees the rows before the page.
     """
     start = (page - 1) * size
-    if start + size <= DIRECT_PAGE_ROWS:
-        return df.orderBy(key).offset(start).limit(size)
-    cut = blocks or Blocks.fit(df, key)
-    numbered = running(df, [], [key], cut, {"__pos": running_count()})
-    return numbered.filter((F.col("__pos") > start) & (F.col("__pos") <= start + size)).drop("__pos")
+    tied = df.withColumn("__tie", F.xxhash64(*df.columns))
+    cut = blocks or Blocks.fit(df, order[0])
+    numbered = running(tied, [], [*order, "__tie"], cut, {"__pos": running_count()})
+    return numbered.filter((F.col("__pos") > start) & (F.col("__pos") <= start + size)).drop("__pos", "__tie")

@@ -100,9 +100,8 @@ HOP_SQL = with_(BEHAVIOR, HOPS) + 'select "itemId", window_end, cnt from hop_cou
 
 @register("hop_count", HOP_SQL)
 def hop_count(spark, sf):
-    rows = tables.user_behavior(spark, sf).withColumn("ts", F.timestamp_seconds("timestamp"))
-    views = rows.filter(F.col("behavior") == "pv")
-    return windows.hop_count_direct(views, "itemId", "ts", HOUR_MS, 300_000)
+    """Every record is counted once, in its pane; the windows are made of pane counts."""
+    return hot_counts(spark, sf)
 
 
 @register("hop_count_panes", HOP_SQL)
@@ -145,31 +144,35 @@ def hot_items_topn(spark, sf):
 @register("hot_items_sql", TOP_SQL)
 def hot_items_sql(spark, sf):
     """Ranking in SQL over a view of the window counts."""
-    hot_counts(spark, sf).createOrReplaceTempView("agg")
+    hot_counts(spark, sf).createOrReplaceTempView("window_counts")
     return spark.sql(
         """
-        select * from (
-          select *, row_number() over (partition by window_end order by cnt desc, itemId) as row_num
-          from agg)
-        where row_num <= 5"""
+        with placed as (
+          select itemId, cnt, window_end,
+                 row_number() over (partition by window_end order by cnt desc, itemId) as row_num
+          from window_counts)
+        select itemId, cnt, window_end, row_num from placed where row_num <= 5"""
     )
 
 
 @register("hot_items_pure_sql", TOP_SQL)
 def hot_items_pure_sql(spark, sf):
-    """The whole query in SQL."""
+    """The whole query in SQL: panes are counted first, and windows over panes sum the counts."""
     rows = tables.user_behavior(spark, sf).withColumn("ts", F.timestamp_seconds("timestamp"))
-    rows.createOrReplaceTempView("user_behavior")
+    rows.createOrReplaceTempView("behaviors")
     return spark.sql(
         """
-        select * from (
-          select *, row_number() over (partition by window_end order by cnt desc, itemId) as row_num
-          from (
-            select itemId, count(itemId) as cnt, unix_millis(w.end) as window_end
-            from (select itemId, window(ts, '1 hour', '5 minutes') as w
-                  from user_behavior where behavior = 'pv')
-            group by itemId, w))
-        where row_num <= 5"""
+        with panes as (
+          select itemId, window(ts, '5 minutes') as pane, count(itemId) as views
+          from behaviors where behavior = 'pv' group by itemId, window(ts, '5 minutes')),
+        hours as (
+          select itemId, window(window_time(pane), '1 hour', '5 minutes') as hour, sum(views) as cnt
+          from panes group by itemId, window(window_time(pane), '1 hour', '5 minutes')),
+        placed as (
+          select itemId, cnt, unix_millis(hour.end) as window_end,
+                 row_number() over (partition by hour order by cnt desc, itemId) as row_num
+          from hours)
+        select itemId, cnt, window_end, row_num from placed where row_num <= 5"""
     )
 
 
@@ -197,7 +200,13 @@ def limit_rows(spark, sf):
 
 @register("page_rows", "select * from orders order by o_orderkey limit 25 offset 50")
 def page_rows(spark, sf):
-    return topn.page_rows(tables.table(spark, sf, "orders"), "o_orderkey", 3, 25)
+    return topn.page_rows(tables.table(spark, sf, "orders"), ["o_orderkey"], 3, 25)
+
+
+@register("page_rows_tied", "select * from orders order by o_custkey, o_orderkey limit 40 offset 80")
+def page_rows_tied(spark, sf):
+    """Paging by a column with ties, and the one that breaks them."""
+    return topn.page_rows(tables.table(spark, sf, "orders"), ["o_custkey", "o_orderkey"], 3, 40)
 
 
 @register(

@@ -41,7 +41,7 @@ def sensor_table_job(readings: DataFrame, sensor_id: str) -> dict[str, DataFrame
     )
     others = readings.where(F.col("id") != sensor_id)
     changes = changelog.retract_changelog(others, "id", "temperature", "seq", SEQ_BLOCKS)
-    return {"one": one, "changes": changes, "averages": changelog.fold_changelog(changes, "id")}
+    return {"one": one, "changes": changes, "averages": changelog.fold_changelog(changes, "id", "seq")}
 
 
 @register(

@@ -14,7 +14,7 @@ ARRIVAL_STRIDE = 7919
 ARRIVAL_SPREAD_MS = 600_000
 
 # `seq` numbers rows densely, so a width in `seq` is a bound on a block's rows.
-SEQ_BLOCKS = Blocks("seq", 1_000_000)
+SEQ_BLOCKS = Blocks("seq", 1_000_000, heavy_rows=1_000_000)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from rillstone.operators import alerts, late, rolling
 from rillstone.operators.blocks import Blocks, Running, preceding_state, running, running_state
-from rillstone.operators.changelog import avg_count_measures, retract_changelog
+from rillstone.operators.changelog import averages, avg_count_measures, changes_of
 from rillstone.session import shared_dir
 from rillstone.sinks.writers import table_batch
 
@@ -73,9 +73,19 @@ def over_rows_step(key: str, order: str, blocks: Blocks, preceding: int, value:
 
 
 def changelog_step(key: str, value: str, order: str, blocks: Blocks) -> Step:
+    """Carries the sums and the last result sent of every key."""
+    sums, sent = ("sum", "seen", "n"), ("avg_temp", "cnt")
+
     def step(batch, before):
-        out = retract_changelog(batch, key, value, order, blocks, before)
-        return out, running_state(batch, [key], avg_count_measures(value), before)
+        past = None if before is None else before.select(key, *sums)
+        last = None if before is None else before.select(key, order, *sent)
+        path = f"{shared_dir(batch.sparkSession, 'changelog')}/results"
+        averages(batch, key, value, order, blocks, past).write.parquet(path)
+        results = batch.sparkSession.read.parquet(path)
+        carry = running_state(batch, [key], avg_count_measures(value), past).join(
+            preceding_state(results, [key], [order], 1, list(sent), last), key
+        )
+        return changes_of(results, key, order, blocks, last), carry
 
     return step
 

@@ -128,20 +128,41 @@ def test_alerts_and_changelog_do_not_depend_on_blocks(data):
         assert rows(fn(Blocks("seq", 9))) == rows(fn(Blocks("seq", 100_000)))
 
 
-def test_changelog_folds_to_the_aggregate(data):
-    changes = retract_changelog(data, "id", "temp", "seq", Blocks("seq", 50))
-    want = data.groupBy("id").agg(F.sum("temp") / F.count("temp"), F.count(F.lit(1)))
-    assert rows(fold_changelog(changes, "id"), "id", "avg_temp", "cnt") == rows(want)
-    ops = {r["op"]: r["count"] for r in changes.groupBy("op").count().collect()}
-    assert ops[True] - ops[False] == data.select("id").distinct().count()
-
-
-def test_deep_page_equals_early_page(spark, sf):
-    orders = spark.read.parquet(f"{sf}/orders.parquet")
-    near = topn.page_rows(orders, "o_orderkey", 4, 20)
-    limit, topn.DIRECT_PAGE_ROWS = topn.DIRECT_PAGE_ROWS, 0
-    try:
-        deep = topn.page_rows(orders, "o_orderkey", 4, 20, Blocks("o_orderkey", 30))
-    finally:
-        topn.DIRECT_PAGE_ROWS = limit
-    assert rows(deep) == rows(near)
+@pytest.mark.parametrize("width", [1, 7, 1000])
+def test_changelog_folds_to_the_aggregate(data, width):
+    fractions = data.withColumn("temp", F.col("temp") / 7)
+    changes = retract_changelog(fractions, "id", "temp", "seq", Blocks("seq", width)).persist()
+    want = fractions.groupBy("id").agg((F.sum("temp") / F.count("temp")).alias("a"), F.count(F.lit(1)).alias("n"))
+    got = fold_changelog(changes, "id", "seq").join(want, "id")
+    assert got.count() == want.count()
+    assert got.where("cnt <> n or abs(avg_temp - a) > 1e-9").count() == 0
+    # every deletion is, bit for bit, the addition before it
+    net = changes.groupBy("id", "avg_temp", "cnt").agg(F.sum(F.when(F.col("op"), 1).otherwise(-1)).alias("net"))
+    assert net.where("net > 0").count() == want.count() and net.where("net < 0").count() == 0
+    changes.unpersist()
+
+
+def test_only_heavy_keys_are_cut_and_results_agree(data):
+    df = data.filter("temp is not null").withColumn("ts", F.col("seq"))
+    for heavy in (0, 20, 10**6):
+        blocks = Blocks("seq", 9, heavy_rows=heavy)
+        for fn in (
+            lambda b: alerts.temp_jump_alert(df, "id", "temp", "seq", b, 10.0),
+            lambda b: alerts.rising_alert_first(df, "id", "temp", "ts", "seq", b, 12),
+            lambda b: topn.top_n_compat(df, "id", "temp", "seq", b),
+        ):
+            assert rows(fn(blocks)) == rows(fn(Blocks("seq", 100_000)))
+    cut = Blocks("seq", 9, heavy_rows=10**6).cut(df, ["id"])
+    assert cut.select("id", "__block").distinct().count() == df.select("id").distinct().count()
+
+
+@pytest.mark.parametrize("width", [1, 3, 10**6])
+def test_pages_hold_every_row_once(spark, width):
+    df = spark.range(40).select((F.col("id") % 4).alias("k"), "id").repartition(3)
+    pages = [rows(topn.page_rows(df, ["k"], page, 5, Blocks("k", width))) for page in range(1, 10)]
+    assert sorted(r for page in pages for r in page) == rows(df)
+    assert [len(p) for p in pages] == [5] * 8 + [0]
+    keys = [k for page in pages for k, _ in page]
+    assert keys == sorted(keys)
+    by_id = [rows(topn.page_rows(df, ["k", "id"], page, 5, Blocks("k", width)), "id") for page in (1, 2)]
+    assert by_id == [[(0,), (4,), (8,), (12,), (16,)], [(20,), (24,), (28,), (32,), (36,)]]

@@ -12,9 +12,10 @@ import pytest
 
 import __spark_entry__ as entry
 from check import comparable
+from rillstone.plans import CATALOG
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = {key: query.run for key, query in CATALOG.items()}
+SQL = {key: query.oracle for key, query in CATALOG.items() if query.oracle}
 REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
@@ -29,6 +30,7 @@ def db(sf):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("key", sorted(QUERIES))
