@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillstone.operators.blocks import Blocks, over_preceding, running, running_max, running_sum
-from rillstone.session import shared_dir
+from rillstone.session import shared_dir, stored
 
 
 def temp_jump_alert(
@@ -39,7 +39,7 @@ def _run_marks(
     fell = F.coalesce(F.col(value) < F.col("__last"), F.lit(False))
     rose = F.coalesce(F.col(value) > F.col("__last"), F.lit(False))
     tagged = steps.select(key, order, time, fell.alias("fell"), rose.alias("rose"))
-    runs = running(tagged, [key], [order], blocks,
+    runs = running(stored(tagged, "steps"), [key], [order], blocks,
                    {"own": running_sum(F.col("fell").cast("bigint"))})
     belongs = F.when(F.col("fell"), F.array("own", F.col("own") - 1)).otherwise(F.array("own"))
     marks = runs.select(key, time, "rose", "own", F.explode(belongs).alias("run"))
@@ -93,29 +93,29 @@ def rising_alerts(
     spark = df.sparkSession
     home = shared_dir(spark, "rising")
 
-    def stored(table: DataFrame, name: str) -> DataFrame:
+    def kept(table: DataFrame, name: str) -> DataFrame:
         table.write.parquet(f"{home}/{name}")
         return spark.read.parquet(f"{home}/{name}")
 
     at = [key, "run"]
-    marks = _run_marks(df, key, value, time, order, blocks)
-    spans = stored(_run_spans(marks, key, time), "spans")
+    marks = kept(_run_marks(df, key, value, time, order, blocks), "marks")
+    spans = kept(_run_spans(marks, key, time), "spans")
     repeating = F.col("last_rise") > F.col("start") + interval
     rises = marks.filter(F.col("rose") & ~F.col("closes")).select(*at, F.col(time).alias("t")).distinct()
     rises = rises.join(spans.filter(repeating).select(*at), at, "left_semi")
 
     reached = spans.filter(repeating).select(*at, F.col("start").alias("t"))
-    jumps = stored(_next_rises(rises, at, interval), "jumps_0")
+    jumps = kept(_next_rises(rises, at, interval), "jumps_0")
     found = [reached]
     turn = 0
     while not jumps.isEmpty():
         turn += 1
         # What the chain has so far leads, one jump on, to as many new starts.
         known = reduce(DataFrame.unionByName, found)
-        found.append(stored(known.join(jumps, [*at, "t"]).select(*at, F.col("to").alias("t")), f"found_{turn}"))
+        found.append(kept(known.join(jumps, [*at, "t"]).select(*at, F.col("to").alias("t")), f"found_{turn}"))
         onward = jumps.select(*at, F.col("t").alias("to"), F.col("to").alias("far"))
-        jumps = stored(jumps.join(onward, [*at, "to"]).select(*at, "t", F.col("far").alias("to")),
-                       f"jumps_{turn}")
+        jumps = kept(jumps.join(onward, [*at, "to"]).select(*at, "t", F.col("far").alias("to")),
+                     f"jumps_{turn}")
     starts = reduce(DataFrame.unionByName, found).withColumnRenamed("t", "start")
     repeated = starts.join(spans.drop("start"), at)
     once = spans.filter(~repeating)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillstone.operators.blocks import Blocks, Running, over_preceding, running, running_count, running_sum
-from rillstone.session import shared_dir
+from rillstone.session import stored
 
 
 def avg_count_measures(value: str) -> dict[str, Running]:
@@ -45,10 +45,7 @@ def retract_changelog(df: DataFrame, key: str, value: str, order: str, blocks: B
 
     The first record of a key has nothing to delete, and an unchanged result is not sent.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark, 'changelog')}/results"
-    averages(df, key, value, order, blocks).write.parquet(path)
-    return changes_of(spark.read.parquet(path), key, order, blocks)
+    return changes_of(stored(averages(df, key, value, order, blocks), "changelog"), key, order, blocks)
 
 
 def fold_changelog(changes: DataFrame, key: str, order: str) -> DataFrame:

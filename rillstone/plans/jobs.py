@@ -20,7 +20,9 @@ from rillstone.schemas import CUSTOMER, SENSOR as SENSOR_SCHEMA
 from rillstone.sinks.formats import csv_value, rename_for_sink
 from rillstone.sources import connectors, tables, text
 from rillstone.sources.tables import SEQ_BLOCKS
-from rillstone.streaming.runner import open_replay, run_to_table
+from rillstone.session import shared_dir
+from rillstone.sinks.writers import BatchWriter, read_batches, table_batch
+from rillstone.streaming.runner import open_replay, run_batches, run_to_table
 
 
 def word_count_job(lines: DataFrame) -> DataFrame:
@@ -233,3 +235,37 @@ def job_mail_ingest(spark, sf):
     customers = open_replay(spark, tables.replay_path(sf, "customer"), CUSTOMER)
     mail = text.json_to_mail(tables.mail_json_from(customers))
     return run_to_table(rename_for_sink(mail)).drop("batch_id")
+
+
+def mail_quarantine_batch(good: BatchWriter, bad: BatchWriter) -> BatchWriter:
+    """Records that are JSON objects to one writer, all other lines to the other."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        mail, lines = text.split_bad_json(batch)
+        good(rename_for_sink(mail), batch_id)
+        bad(lines, batch_id)
+
+    return write
+
+
+@register(
+    "job_mail_quarantine",
+    with_(MAIL)
+    + """select 'good' as part, "phoneNo" as phone_no, null as line from mail
+    where cast("phoneNo" as bigint) % 7 <> 0
+    union all select 'bad', null, '{bad ' || "phoneNo" from mail where cast("phoneNo" as bigint) % 7 = 0""",
+)
+def job_mail_quarantine(spark, sf):
+    """The ingest job with every seventh record malformed."""
+    customers = open_replay(spark, tables.replay_path(sf, "customer"), CUSTOMER)
+    sound = tables.mail_json_from(customers.where("c_custkey % 7 <> 0"))
+    broken = customers.where("c_custkey % 7 = 0").select(F.concat(F.lit("{bad "), "c_custkey").alias("value"))
+    home = shared_dir(spark, "mail")
+    write = mail_quarantine_batch(table_batch(f"{home}/good"), table_batch(f"{home}/bad"))
+    run_batches(sound.unionByName(broken), write, f"{home}/checkpoint")
+    good = read_batches(spark, f"{home}/good", "app_key string, app_version string, device_id string, phone_no string")
+    bad = read_batches(spark, f"{home}/bad", "line string")
+    none = F.lit(None).cast("string")
+    return good.select(F.lit("good").alias("part"), "phone_no", none.alias("line")).unionByName(
+        bad.select(F.lit("bad").alias("part"), none.alias("phone_no"), "line")
+    )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from rillstone.operators import alerts, late, rolling
 from rillstone.operators.blocks import Blocks, running, running_count, running_max, running_sum
 from rillstone.plans.catalog import SENSOR, register, rounded, rounded_sql, with_
+from rillstone.session import stored
 from rillstone.sources import tables
 from rillstone.sources.tables import SEQ_BLOCKS
 
@@ -114,9 +115,9 @@ def keyed_state_kinds(spark, sf):
         {"n": running_count(), "max_temp": running_max(F.col("temperature"))},
     )
     per_kind = running(
-        per_id, ["id", "kind"], ["seq"], SEQ_BLOCKS, {"kind_sum": running_sum(F.col("temperature"))}
+        stored(per_id, "kinds"), ["id", "kind"], ["seq"], SEQ_BLOCKS, {"kind_sum": running_sum(F.col("temperature"))}
     )
-    out = rolling.last_n_text(per_kind, "id", "seq", SEQ_BLOCKS, 3, F.col("seq").cast("string"), "last_seqs")
+    out = rolling.last_n_text(stored(per_kind, "kinds"), "id", "seq", SEQ_BLOCKS, 3, F.col("seq").cast("string"), "last_seqs")
     return out.select("id", "seq", "kind", "n", rounded("kind_sum").alias("kind_sum"), "max_temp", "last_seqs")
 
 

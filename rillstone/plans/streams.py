@@ -20,6 +20,7 @@ from rillstone.plans.event_windows import HOP_SQL, OVER_SQL, TOP_SQL, end_sql, m
 from rillstone.plans.scans import CHANGELOG_SQL
 from rillstone.plans.stateful import CLASSES, JUMP_SQL, SHARDS, STATE_KINDS_SQL, SUBTASK_SQL
 from rillstone.schemas import DOCUMENTS, EVENTS
+from rillstone.session import shared_dir, stored
 from rillstone.sinks.writers import latest
 from rillstone.sources import tables
 from rillstone.sources.tables import SEQ_BLOCKS
@@ -42,8 +43,21 @@ def end_row(spark):
     return spark.sql(f"select * from ({END_EVENT}) as t(event_id, ts, user_id, event_type, value, props)")
 
 
-def sensor_stream(spark, sf):
-    return tables.sensor_from(open_replay(spark, tables.replay_path(sf, "events"), EVENTS))
+PARTS = 3
+
+
+def sensor_stream(spark, folder):
+    return tables.sensor_from(open_replay(spark, folder, EVENTS))
+
+
+def arriving(spark, sf, step, keys, rows=lambda df: df, order=None):
+    """Run a carried step over the events as they arrive: each part of the table is a micro-batch
+    of its own, and the state of the parts before reaches it through the carried table."""
+    home = shared_dir(spark, "arriving")
+    for part in tables.in_parts(tables.table(spark, sf, "events"), F.col("event_id") if order is None else order, PARTS):
+        part.write.mode("append").parquet(f"{home}/events")
+        out = run_carried(rows(sensor_stream(spark, f"{home}/events")), step, f"{home}/run", keys)
+    return out
 
 
 @register("stream_word_count", with_(WORDS) + "select word, count(*) as cnt from words group by word")
@@ -95,8 +109,8 @@ def state_kinds_stream(spark, sf):
     def step(batch, before):
         parts = {name: None if before is None else before.filter(F.col("part") == name) for name in STATES}
         per_id = running(batch, ["id"], ["seq"], SEQ_BLOCKS, id_measures(), parts["id"])
-        per_kind = running(per_id, ["id", "kind"], ["seq"], SEQ_BLOCKS, kind_measures(), parts["kind"])
-        out = rolling.last_n_text(per_kind, "id", "seq", SEQ_BLOCKS, 3, F.col("seq").cast("string"),
+        per_kind = running(stored(per_id, "kinds"), ["id", "kind"], ["seq"], SEQ_BLOCKS, kind_measures(), parts["kind"])
+        out = rolling.last_n_text(stored(per_kind, "kinds"), "id", "seq", SEQ_BLOCKS, 3, F.col("seq").cast("string"),
                                   "last_seqs", parts["recent"])
         with_text = batch.withColumn("__v", F.col("seq").cast("string"))
         carry = {
@@ -108,7 +122,7 @@ def state_kinds_stream(spark, sf):
         tagged = [state.withColumn("part", F.lit(name)) for name, state in carry.items()]
         return out, reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
-    out = run_carried(sensor_stream(spark, sf).select("id", "seq", "kind", "temperature"), step)
+    out = arriving(spark, sf, step, ["id"], lambda rows: rows.select("id", "seq", "kind", "temperature"))
     return out.select("id", "seq", "kind", "n", rounded("kind_sum").alias("kind_sum"), "max_temp", "last_seqs")
 
 
@@ -129,27 +143,29 @@ def narrowed(df, *columns):
 
 @register("temp_jump_alert_stream", JUMP_SQL)
 def jump_stream(spark, sf):
-    return run_carried(sensor_stream(spark, sf), jump_step("id", "temperature", "seq", SEQ_BLOCKS, 10.0))
+    return arriving(spark, sf, jump_step("id", "temperature", "seq", SEQ_BLOCKS, 10.0), ["id"])
 
 
 @register("over_rows_agg_stream", OVER_SQL)
 def over_rows_stream(spark, sf):
-    out = run_carried(sensor_stream(spark, sf), over_rows_step("id", "seq", SEQ_BLOCKS, 2, "temperature"))
+    out = arriving(spark, sf, over_rows_step("id", "seq", SEQ_BLOCKS, 2, "temperature"), ["id"])
     return out.select("id", "seq", (F.col("timestamp") * 1000).alias("rt_ms"), "cnt",
                       rounded("avg_temp").alias("avg_temp"))
 
 
 @register("retract_changelog_stream", CHANGELOG_SQL)
 def changelog_stream(spark, sf):
-    out = run_carried(sensor_stream(spark, sf), changelog_step("id", "temperature", "seq", SEQ_BLOCKS))
+    out = arriving(spark, sf, changelog_step("id", "temperature", "seq", SEQ_BLOCKS), ["id"])
     return out.withColumn("avg_temp", rounded("avg_temp"))
 
 
 @register("subtask_counter_stream", SUBTASK_SQL)
 def subtask_stream(spark, sf):
-    rows = sensor_stream(spark, sf).select((F.col("seq") % SHARDS).cast("int").alias("shard"), "seq")
+    def sharded(rows):
+        return rows.select((F.col("seq") % SHARDS).cast("int").alias("shard"), "seq")
+
     step = running_step(["shard"], ["seq"], SEQ_BLOCKS, lambda: {"n": running_count()})
-    return run_carried(rows, step).withColumn("n", F.col("n") - 1)
+    return arriving(spark, sf, step, ["shard"], sharded).withColumn("n", F.col("n") - 1)
 
 
 @register(
@@ -158,4 +174,5 @@ def subtask_stream(spark, sf):
 def late_side_output(spark, sf):
     """Spark drops late rows without a trace, so they are told apart before any watermark."""
     step = late_step("timestamp", ["arrival_ms", "seq"], 15_000, 20, 60_000)
-    return run_carried(sensor_stream(spark, sf), step).select("id", "seq", "window_end", "late_class")
+    out = arriving(spark, sf, step, [], order=tables.arrival_ms())
+    return out.select("id", "seq", "window_end", "late_class")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -47,3 +47,20 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to storage that all executors share")
         base = spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/rillstone-{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows written to the shared folder and read back.
+
+    An operator that reads its input more than once would otherwise run all that lies below it
+    as often; nested ones multiply.
+    """
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that is no longer read, on whatever storage it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

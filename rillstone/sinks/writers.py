@@ -25,8 +25,9 @@ def to_topic(df: DataFrame, options: Mapping[str, str], fmt: str = "kafka") -> D
 def jdbc_batch(url: str, table: str, properties: Mapping[str, str]) -> BatchWriter:
     """Insert each batch through JDBC, one connection per partition.
 
-    The batch number goes into a `batch_id` column: a batch replayed after a failure can be
-    recognised and removed by it. Errors fail the query, they are not swallowed.
+    The batch number goes into a `batch_id` column. A batch replayed after a failure is inserted
+    again: read through `latest`, or a unique key on the table, to count it once. Errors fail
+    the query, they are not swallowed.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -57,12 +58,23 @@ def each_batch(
     return df.writeStream.foreachBatch(handle)
 
 
-def routed(writers: Mapping[str, BatchWriter], column: str) -> BatchWriter:
-    """Write the rows of every route with that route's writer."""
+def routed(
+    writers: Mapping[str, BatchWriter], column: str, otherwise: BatchWriter | None = None
+) -> BatchWriter:
+    """Write the rows of every route with that route's writer.
+
+    Rows whose route is null or has no writer go to `otherwise`, with the route column; without
+    it they fail the batch before anything of it is written.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
+            others = batch.filter(F.col(column).isNull() | ~F.col(column).isin(*writers))
+            if otherwise:
+                otherwise(others, batch_id)
+            elif not others.isEmpty():
+                raise ValueError(f"rows without a writer for their {column}: {others.first()}")
             for route, writer in writers.items():
                 writer(batch.filter(F.col(column) == route).drop(column), batch_id)
         finally:

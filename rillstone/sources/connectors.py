@@ -35,8 +35,11 @@ def stream_kafka_earliest(spark: SparkSession, servers: str, topic: str, **extra
 
 
 def csv_values(df: DataFrame, schema: str, column: str = "value") -> DataFrame:
-    """CSV text in a column to the declared fields."""
-    return df.select(F.from_csv(column, schema, {"mode": "PERMISSIVE"}).alias("r")).select("r.*")
+    """CSV text in a column to the declared fields; a malformed record fails the query.
+
+    `text.split_bad_lines` is the tolerant form, with the malformed records as a second table.
+    """
+    return df.select(F.from_csv(column, schema, {"mode": "FAILFAST"}).alias("r")).select("r.*")
 
 
 def stream_kafka_csv_table(

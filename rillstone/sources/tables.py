@@ -3,7 +3,7 @@ the analytics tables (`FIXTURES.md`)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillstone.functions.timing import millis_of, seconds_of
@@ -22,6 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def arrival_ms() -> Column:
+    """When an event arrives, out of the order of the events' times."""
+    return millis_of(F.col("ts")) + (F.col("event_id") * ARRIVAL_STRIDE) % ARRIVAL_SPREAD_MS
+
+
 def sensor_from(events: DataFrame) -> DataFrame:
     """Sensor readings with arrival number `seq`, `kind`, and an out-of-order `arrival_ms`."""
     ts = F.col("ts")
@@ -31,9 +36,7 @@ def sensor_from(events: DataFrame) -> DataFrame:
         F.col("value").alias("temperature"),
         F.col("event_id").alias("seq"),
         F.col("event_type").alias("kind"),
-        (millis_of(ts) + (F.col("event_id") * ARRIVAL_STRIDE) % ARRIVAL_SPREAD_MS).alias(
-            "arrival_ms"
-        ),
+        arrival_ms().alias("arrival_ms"),
     )
 
 
@@ -90,6 +93,18 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(F.col("text").alias("value"))
 
 
+def in_parts(table: DataFrame, order: Column, parts: int) -> list[DataFrame]:
+    """The rows in consecutive ranges of an integer order of arrival, each to become a micro-batch."""
+    numbered = table.withColumn("__at", order)
+    low, high = numbered.agg(F.min("__at"), F.max("__at")).first()
+    step = ((high or 0) - (low or 0)) // parts + 1
+    first = low or 0
+    return [
+        numbered.filter((F.col("__at") >= first + i * step) & (F.col("__at") < first + (i + 1) * step)).drop("__at")
+        for i in range(parts)
+    ]
+
+
 def replay_path(sf_dir: str, name: str) -> str:
     """The table as a streaming path. Written as a glob: a file source takes a folder or a
     glob, and this way the table may be one file or a folder."""

@@ -50,14 +50,17 @@ def _fields(schema: str):
 
 
 def parse_lines(lines: DataFrame, schema: str, column: str = "value") -> DataFrame:
-    """Strict parsing: a missing field or a bad number fails the query; extra fields are ignored."""
+    """Strict parsing: a missing field or a bad number fails the query; extra fields are ignored.
+
+    The failure is raised here and doesn't hang on the session's ANSI setting.
+    """
     parts = F.split(F.col(column), ",")
-    return lines.select(
-        *[
-            F.element_at(parts, i + 1).cast(f.dataType).alias(f.name)
-            for i, f in enumerate(_fields(schema))
-        ]
-    )
+
+    def strict(i: int, f) -> Column:
+        bad = F.raise_error(F.concat(F.lit(f"no {f.name} in line: "), F.coalesce(F.col(column), F.lit("null"))))
+        return F.coalesce(F.get(parts, F.lit(i)).try_cast(f.dataType), bad.cast(f.dataType)).alias(f.name)
+
+    return lines.select(*[strict(i, f) for i, f in enumerate(_fields(schema))])
 
 
 def split_bad_lines(
@@ -89,8 +92,8 @@ def parse_user_behavior_csv(lines: DataFrame, shift_hours: int = 0) -> DataFrame
 
 
 def json_to_mail(lines: DataFrame, column: str = "value") -> DataFrame:
-    """JSON objects to the four device fields; a missing key gives null."""
-    return lines.select(F.from_json(column, MAIL).alias("m")).select("m.*")
+    """JSON objects to the four device fields; a missing key gives null, malformed text fails."""
+    return lines.select(F.from_json(column, MAIL, {"mode": "FAILFAST"}).alias("m")).select("m.*")
 
 
 def split_bad_json(lines: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:

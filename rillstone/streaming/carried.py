@@ -9,41 +9,105 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from rillstone.operators import alerts, late, rolling
 from rillstone.operators.blocks import Blocks, Running, preceding_state, running, running_state
 from rillstone.operators.changelog import averages, avg_count_measures, changes_of
-from rillstone.session import shared_dir
+from rillstone.session import remove, shared_dir, stored
 from rillstone.sinks.writers import table_batch
 
 # (rows of the batch, what is carried in or None) -> (results, what is carried on)
 Step = Callable[[DataFrame, DataFrame | None], tuple[DataFrame, DataFrame]]
 
 
-def run_carried(df: DataFrame, step: Step, home: str | None = None) -> DataFrame:
+BUCKETS = 64
+
+
+class Carry:
+    """The carried table, in buckets of the keys; a batch rewrites only the buckets it touches.
+
+    `log/batch=n` lists, for every bucket, the batch that wrote its rows; the rows lie under
+    `rows/batch=n`. A batch reads the list of its predecessor, so one that is replayed after
+    a failure finds its input unchanged. Rows that no list refers to any more are removed.
+    """
+
+    def __init__(self, home: str, keys: Sequence[str], buckets: int = BUCKETS):
+        self.home, self.keys, self.buckets = home, list(keys), buckets
+
+    def bucket(self) -> Column:
+        number = F.pmod(F.hash(*self.keys), F.lit(self.buckets)) if self.keys else F.lit(0)
+        return number.cast("int").alias("__bucket")
+
+    def written(self, spark: SparkSession, batch_id: int) -> dict[int, int]:
+        """Bucket to the batch that wrote it, after `batch_id`: at most `buckets` entries."""
+        if batch_id < 0:
+            return {}
+        return {r["bucket"]: r["batch"] for r in spark.read.json(f"{self.home}/log/batch={batch_id}", LOG).collect()}
+
+    def before(self, batch: DataFrame, batch_id: int) -> tuple[DataFrame | None, dict[int, int]]:
+        """The carried rows of the buckets that the batch touches."""
+        spark = batch.sparkSession
+        known = self.written(spark, batch_id - 1)
+        touched = [r[0] for r in batch.select(self.bucket()).distinct().collect()]
+        paths = [f"{self.home}/rows/batch={known[b]}/__bucket={b}" for b in touched if b in known]
+        return (spark.read.parquet(*paths) if paths else None), known
+
+    def write(self, carry: DataFrame, batch_id: int, known: dict[int, int]) -> None:
+        spark = carry.sparkSession
+        path = f"{self.home}/rows/batch={batch_id}"
+        carry.withColumn("__bucket", self.bucket()).write.mode("overwrite").partitionBy("__bucket").parquet(path)
+        fresh = spark.read.schema(f"{PLAIN}, __bucket int").parquet(path)
+        now = {r[0]: batch_id for r in fresh.select("__bucket").distinct().collect()}
+        entries = [(b, n) for b, n in (known | now).items()]
+        log = f"{self.home}/log/batch={batch_id}"
+        spark.createDataFrame(entries, LOG).coalesce(1).write.mode("overwrite").json(log)
+        # what the list before this one still needs stays until the next batch
+        for b, n in self.written(spark, batch_id - 2).items():
+            if known.get(b) != n:
+                remove(spark, f"{self.home}/rows/batch={n}/__bucket={b}")
+
+
+LOG = "bucket int, batch bigint"
+PLAIN = "__none int"  # only the folders' names are asked for
+
+
+def run_carried(
+    df: DataFrame, step: Step, home: str | None = None, keys: Sequence[str] = (),
+    trigger: Mapping[str, str | bool] | None = None,
+) -> DataFrame:
     """Process all input there is and read the results back.
 
-    A batch reads the carried table its predecessor wrote and writes the other one of two,
-    so a batch that is replayed after a failure finds its input unchanged.
+    Called again with the same `home` it goes on with what is new. `keys` are those of the step's
+    state. With a trigger, see `start_carried`, the query goes on until it is stopped.
     """
     spark = df.sparkSession
     home = home or shared_dir(spark, "carried")
-    out = table_batch(f"{home}/out")
+    start_carried(df, step, home, keys, trigger or {"availableNow": True}).awaitTermination()
+    return spark.read.parquet(f"{home}/out").drop("batch_id")
 
-    def slot(batch_id: int) -> str:
-        return f"{home}/carry/slot_{batch_id % 2}"
+
+def start_carried(
+    df: DataFrame, step: Step, home: str, keys: Sequence[str] = (), trigger: Mapping[str, str | bool] | None = None
+) -> StreamingQuery:
+    """Start a query without waiting for it; `trigger` as in Spark, e.g. {"processingTime": "10 seconds"}."""
+    out = table_batch(f"{home}/out")
+    held = Carry(f"{home}/carry", keys)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        before = batch.sparkSession.read.parquet(slot(batch_id - 1)) if batch_id else None
-        results, carry = step(batch, before)
-        out(results, batch_id)
-        carry.write.mode("overwrite").parquet(slot(batch_id))
+        batch = batch.persist()
+        try:
+            before, known = held.before(batch, batch_id)
+            results, carry = step(batch, before)
+            out(results, batch_id)
+            held.write(carry, batch_id, known)
+        finally:
+            batch.unpersist()
 
     writer = df.writeStream.foreachBatch(handle).option("checkpointLocation", f"{home}/checkpoint")
-    writer.trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(f"{home}/out").drop("batch_id")
+    return (writer.trigger(**trigger) if trigger else writer).start()
 
 
 def running_step(
@@ -79,9 +143,7 @@ def changelog_step(key: str, value: str, order: str, blocks: Blocks) -> Step:
     def step(batch, before):
         past = None if before is None else before.select(key, *sums)
         last = None if before is None else before.select(key, order, *sent)
-        path = f"{shared_dir(batch.sparkSession, 'changelog')}/results"
-        averages(batch, key, value, order, blocks, past).write.parquet(path)
-        results = batch.sparkSession.read.parquet(path)
+        results = stored(averages(batch, key, value, order, blocks, past), "changelog")
         carry = running_state(batch, [key], avg_count_measures(value), past).join(
             preceding_state(results, [key], [order], 1, list(sent), last), key
         )

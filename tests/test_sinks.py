@@ -33,6 +33,16 @@ def test_routes_go_to_their_writers(spark, tmp_path):
     assert rows(spark.read.parquet(path["low"]), "temperature") == [(None,), (29.0,)]
 
 
+def test_rows_without_a_route_are_not_lost(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "k int, route string")
+    a, rest = writers.table_batch(str(tmp_path / "a")), writers.table_batch(str(tmp_path / "rest"))
+    with pytest.raises(ValueError):
+        writers.routed({"a": a}, "route")(df, 0)
+    assert not (tmp_path / "a").exists()
+    writers.routed({"a": a}, "route", otherwise=rest)(df, 0)
+    assert rows(spark.read.parquet(str(tmp_path / "rest")), "k", "route") == [(2, "b"), (3, None)]
+
+
 def test_csv_values_and_names(spark):
     df = spark.createDataFrame([("a,b", 1, None)], "x string, y int, z string")
     assert rows(csv_value(df)) == [('"a,b",1,',)]
