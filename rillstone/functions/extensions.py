@@ -12,7 +12,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf, udtf
+from pyspark.sql.functions import PandasUDFType, pandas_udf, udtf
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
@@ -141,6 +141,44 @@ def aggregate_by_key(
     return by_key.mapInArrow(merge_sorted, result_schema)
 
 
+def register_aggregate(spark: SparkSession, name: str, agg: Accumulator) -> None:
+    """Make a user aggregate callable by name in SQL and in `F.call_function`.
+
+    SQL functions can't hand on partial results, so this form folds a group's rows in one task: it is
+    for groups of bounded size. `aggregate_by_key` is the form for hot keys. In a column of
+    doubles a NaN reads as null.
+    """
+
+    def fold(values: pd.Series):
+        acc = agg.create()
+        for v in values:
+            acc = agg.add(acc, None if v is None or v != v else v)
+        return agg.result(acc)
+
+    spark.udf.register(name, pandas_udf(fold, agg.returns, PandasUDFType.GROUPED_AGG))
+
+
+class TableAccumulator(Accumulator):
+    """A user aggregate whose result is several rows: `returns` is their DDL schema.
+
+    `result` gives a list of tuples.
+    """
+
+
+def table_aggregate_by_key(df: DataFrame, key: str, value: str, agg: TableAccumulator) -> DataFrame:
+    """Run a user table aggregate per key, with partial results before the shuffle."""
+    shape = StructType.fromDDL(agg.returns)
+
+    class Listed(Accumulator):
+        buffer, returns = agg.buffer, f"array<{shape.simpleString()}>"
+        create, add, merge = (staticmethod(f) for f in (agg.create, agg.add, agg.merge))
+
+        def result(self, acc):
+            return [dict(zip(shape.names, row)) for row in agg.result(acc)]
+
+    return aggregate_by_key(df, key, value, Listed(), "__rows").select(key, F.inline("__rows"))
+
+
 class _Reducer(Accumulator):
     def __init__(self, fn: Callable[[object, object], object], dtype: str):
         self.fn, self.buffer, self.returns = fn, f"acc {dtype}", dtype

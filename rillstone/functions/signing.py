@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rillstone.session import PAD_REDACTION
+
 BLOCK_BYTES = 64
+REDACTION = "spark.sql.redaction.string.regex"
 
 
 def canonical_request(*parts: Column) -> Column:
@@ -20,12 +23,23 @@ def _digest(data: Column, algorithm: str) -> Column:
     return F.unhex(hexed)
 
 
+def redact_plans() -> None:
+    """Make sure that the active session redacts key pads."""
+    spark = SparkSession.active()
+    pattern = spark.conf.get(REDACTION, None)
+    if not pattern:
+        spark.conf.set(REDACTION, PAD_REDACTION)
+    elif PAD_REDACTION not in pattern:
+        spark.conf.set(REDACTION, f"{pattern}|{PAD_REDACTION}")
+
+
 def hmac(message: Column, key: bytes, algorithm: str = "sha256") -> Column:
     """HMAC-SHA256 or HMAC-SHA1 of a string column, as binary.
 
-    The key stays with the caller. Its padded forms are plan literals, so run with
-    `spark.sql.redaction.string.regex` set (see `session.PAD_REDACTION`).
+    The key stays with the caller. Its padded forms are plan literals, which are kept out of plan texts
+    and event logs: the session's redaction pattern is widened to cover them, or signing fails.
     """
+    redact_plans()
     if algorithm not in ("sha1", "sha256"):
         raise ValueError(f"unknown HMAC algorithm: {algorithm}")
     if len(key) > BLOCK_BYTES:

@@ -185,9 +185,9 @@ OVER_SQL = with_(SENSOR) + (
 
 @register("over_rows_agg", OVER_SQL)
 def over_rows_agg(spark, sf):
-    # `seq` numbers the rows in event-time order, so it is the order and the tie-break.
+    # by event time; `seq` breaks ties
     rows = tables.sensor(spark, sf).select("id", "timestamp", "temperature", "seq")
-    out = rolling.over_rows(rows, "id", ["seq"], SEQ_BLOCKS, 2, "id", "temperature")
+    out = rolling.over_rows(rows, "id", ["timestamp", "seq"], tables.time_blocks(rows), 2, "id", "temperature")
     return out.select(
         "id", "seq", (F.col("timestamp") * 1000).alias("rt_ms"), "cnt", rounded("avg_temp").alias("avg_temp")
     )

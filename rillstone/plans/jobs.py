@@ -68,7 +68,7 @@ def sensor_windows_job(readings: DataFrame) -> dict[str, DataFrame]:
     tumble = windows.tumble_agg(
         timed, "id", "rt", 10_000, F.count("id").alias("cnt"), F.avg("temperature").alias("avg_temp")
     )
-    over = rolling.over_rows(readings, "id", ["seq"], SEQ_BLOCKS, 2, "id", "temperature")
+    over = rolling.over_rows(readings, "id", ["timestamp", "seq"], tables.time_blocks(readings), 2, "id", "temperature")
     return {"tumble": tumble, "over": over}
 
 

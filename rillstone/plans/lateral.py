@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from rillstone.functions import extensions
 from rillstone.functions.extensions import register_sql_scalar, register_table_function
 from rillstone.functions.strings import java_hash
 from rillstone.operators.words import lateral_split
+from rillstone.plans.aggregates import AverageParts
 from rillstone.plans.catalog import SENSOR, register, rounded_sql, with_
 from rillstone.sources import tables
 
@@ -105,8 +107,39 @@ def lateral_left(spark, sf):
     with_(SENSOR) + f"select id, {rounded_sql('avg(temperature)')} as avg_temp from sensor group by id",
 )
 def udaf_surface(spark, sf):
+    """A user aggregate, called by its name in SQL."""
+    extensions.register_aggregate(spark, "user_avg", AverageParts())
     tables.sensor(spark, sf).createOrReplaceTempView("sensor_udaf")
-    return spark.sql(
-        """select id, round(sum(temperature) / count(temperature) + 1e-9D, 6) as avg_temp
-           from sensor_udaf group by id"""
-    )
+    return spark.sql("select id, round(user_avg(temperature) + 1e-9D, 6) as avg_temp from sensor_udaf group by id")
+
+
+class TopTwo(extensions.TableAccumulator):
+    """The two highest values, a row each."""
+
+    buffer = "first double, second double"
+    returns = "temp double, temp_rank int"
+
+    def create(self):
+        return (None, None)
+
+    def add(self, acc, value):
+        return self.merge(acc, (value, None))
+
+    def merge(self, a, b):
+        best = sorted((v for v in (*a, *b) if v is not None), reverse=True)[:2]
+        return (*best, None, None)[:2]
+
+    def result(self, acc):
+        return [(v, rank) for rank, v in enumerate(acc, 1) if v is not None]
+
+
+@register(
+    "table_aggregate_surface",
+    with_(SENSOR)
+    + """select id, temperature as temp, cast(r as int) as temp_rank from (
+      select id, temperature, row_number() over (partition by id order by temperature desc, seq) as r from sensor)
+    where r <= 2 and temperature is not null""",
+)
+def table_aggregate_surface(spark, sf):
+    """A user aggregate that returns rows."""
+    return extensions.table_aggregate_by_key(tables.sensor(spark, sf), "id", "temperature", TopTwo())

@@ -3,6 +3,9 @@
 A key's rows may reach `handleInputRows` in any order inside one micro-batch, so each
 processor sorts them by arrival number first; what it sorts is bounded by the source's
 per-trigger limit. State per key is a few values, never the key's history.
+
+Null readings follow the batch twins: sums, averages and maxima skip them, counts of rows include
+them, and a comparison with one neither alerts nor falls nor rises.
 """
 
 from __future__ import annotations
@@ -40,10 +43,12 @@ class StateKinds(StatefulProcessor):
             n += 1
             recent = [*recent, row["seq"]][-self.keep:]
             kind = (row["kind"],)
-            old = self.sums.getValue(kind)[0] if self.sums.containsKey(kind) else 0.0
-            total = old + row["temperature"]
+            total = self.sums.getValue(kind)[0] if self.sums.containsKey(kind) else None
+            value = row["temperature"]
+            if value is not None:
+                total = value if total is None else total + value
+                highest = value if highest is None else max(highest, value)
             self.sums.updateValue(kind, (total,))
-            highest = row["temperature"] if highest is None else max(highest, row["temperature"])
             yield Row(id=key[0], seq=row["seq"], kind=row["kind"], n=n, kind_sum=total,
                       max_temp=highest, last_seqs=",".join(map(str, recent)))
         self.count.update((n,))
@@ -69,7 +74,7 @@ class JumpAlert(StatefulProcessor):
         last = self.last.get()[0] if self.last.exists() else None
         for row in in_order(rows):
             current = row["temperature"]
-            if last is not None and abs(current - last) >= self.threshold:
+            if last is not None and current is not None and abs(current - last) >= self.threshold:
                 yield Row(id=key[0], seq=row["seq"], last_temp=last, cur_temp=current)
             last = current
         self.last.update((last,))
@@ -115,8 +120,9 @@ class OverRows(StatefulProcessor):
         recent = [r[0] for r in self.recent.get()] if self.recent.exists() else []
         for row in in_order(rows):
             frame = [*recent, row["temperature"]]
+            known = [v for v in frame if v is not None]
             yield Row(id=key[0], seq=row["seq"], rt_ms=row["timestamp"] * 1000, cnt=len(frame),
-                      avg_temp=sum(frame) / len(frame))
+                      avg_temp=sum(known) / len(known) if known else None)
             recent = frame[-self.preceding:]
         self.recent.put([(v,) for v in recent])
 
@@ -130,16 +136,18 @@ class Changelog(StatefulProcessor):
     output = "id string, seq bigint, op boolean, avg_temp double, cnt bigint"
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.acc = handle.getValueState("acc", "total double, n bigint")
+        self.acc = handle.getValueState("acc", "total double, seen bigint, n bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        total, n = tuple(self.acc.get()) if self.acc.exists() else (0.0, 0)
+        total, seen, n = tuple(self.acc.get()) if self.acc.exists() else (0.0, 0, 0)
         for row in in_order(rows):
             if n:
-                yield Row(id=key[0], seq=row["seq"], op=False, avg_temp=total / n, cnt=n)
-            total, n = total + row["temperature"], n + 1
-            yield Row(id=key[0], seq=row["seq"], op=True, avg_temp=total / n, cnt=n)
-        self.acc.update((total, n))
+                yield Row(id=key[0], seq=row["seq"], op=False, avg_temp=total / seen if seen else None, cnt=n)
+            if row["temperature"] is not None:
+                total, seen = total + row["temperature"], seen + 1
+            n += 1
+            yield Row(id=key[0], seq=row["seq"], op=True, avg_temp=total / seen if seen else None, cnt=n)
+        self.acc.update((total, seen, n))
 
     def close(self) -> None:
         pass
@@ -228,7 +236,8 @@ class RisingAlert(StatefulProcessor):
         self.due = handle.getValueState("due", "sec bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        last = self.last.get()[0] if self.last.exists() else None
+        begun = self.last.exists()
+        last = self.last.get()[0] if begun else None
         due = self.due.get()[0] if self.due.exists() else None
         held = due
         for row in sorted(rows, key=lambda r: (r["timestamp"], r["seq"])):
@@ -236,11 +245,13 @@ class RisingAlert(StatefulProcessor):
             if due is not None and now > due:
                 yield Row(id=key[0], start=due - self.interval, fire=due)
                 due = None
-            before = (0.0 if self.first_counts else value) if last is None else last
-            if value > before and due is None:
-                due = now + self.interval
-            elif value < before:
-                due = None
+            before = 0.0 if self.first_counts and not begun else last
+            begun = True
+            if value is not None and before is not None:
+                if value > before and due is None:
+                    due = now + self.interval
+                elif value < before:
+                    due = None
             last = value
         self.last.update((last,))
         if due != held:

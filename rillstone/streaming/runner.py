@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StatefulProcessor
@@ -101,13 +101,24 @@ class Replay:
         self, build: Callable[[DataFrame], DataFrame], end_row: DataFrame,
         transform: Callable[[DataFrame], DataFrame] | None = None,
     ) -> DataFrame:
-        def step() -> DataFrame:
-            df = build(self.rows())
-            run_batches(df, table_batch(f"{self.home}/out"), f"{self.home}/checkpoint",
-                        transform=transform)
-            return df
+        self._step(build, transform)
+        end_row.write.mode("append").parquet(self.end_dir)
+        df = self._step(build, transform)
+        return read_table(self.spark, self.home, df, transform)
 
-        step()
+    def run_parts(
+        self, build: Callable[[DataFrame], DataFrame], parts: Sequence[DataFrame], end_row: DataFrame,
+        transform: Callable[[DataFrame], DataFrame] | None = None,
+    ) -> DataFrame:
+        """The same for rows that arrive in parts: each is added to `path` and processed on its own."""
+        for part in parts:
+            part.write.mode("append").parquet(self.path)
+            self._step(build, transform)
         end_row.write.mode("append").parquet(self.end_dir)
-        df = step()
+        df = self._step(build, transform)
         return read_table(self.spark, self.home, df, transform)
+
+    def _step(self, build, transform) -> DataFrame:
+        df = build(self.rows())
+        run_batches(df, table_batch(f"{self.home}/out"), f"{self.home}/checkpoint", transform=transform)
+        return df

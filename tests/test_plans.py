@@ -12,9 +12,10 @@ load_all()
 
 QUERIES = {key: query.run for key, query in CATALOG.items()}
 # User functions in Python, there to be one.
-PYTHON = {"partition_setup_map", "udtf_split_user", "reduce_function_surface", "aggregate_function_surface"}
+PYTHON = {"partition_setup_map", "udtf_split_user", "reduce_function_surface", "aggregate_function_surface",
+          "udaf_surface", "table_aggregate_surface"}
 EAGER = {k for k in QUERIES if k.endswith("_stream")} | {
-    "retract_changelog", "job_sensor_table", "job_mail_quarantine", "stream_word_count", "assign_watermark", "late_side_output", "job_mail_ingest",
+    "retract_changelog", "job_sensor_table", "job_mail_quarantine", "topn_list_state_timer", "stream_word_count", "assign_watermark", "late_side_output", "job_mail_ingest",
     "rising_temp_alert_repeated"}
 LAZY = sorted(set(QUERIES) - EAGER)
 

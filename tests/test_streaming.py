@@ -371,3 +371,21 @@ def test_a_query_can_go_on_until_it_is_stopped(spark, tmp_path):
     finally:
         query.stop()
     assert rows(spark.read.parquet(f"{home}/out"), "id", "n") == [("a", 1), ("a", 2)]
+
+
+def test_null_readings_are_treated_as_in_batch(spark, readings, tmp_path):
+    holes = readings.withColumn("temperature", F.when(F.col("seq") % 5 != 0, F.col("temperature")))
+    folder = write_chunks(holes, ["seq"], str(tmp_path / "holes"), 2)
+    jumps = keyed(spark, folder, ["id"], proc.JumpAlert(10.0), ONE_FILE)
+    want = alerts.temp_jump_alert(holes, "id", "temperature", "seq", BLOCKS, 10.0)
+    assert rows(jumps, "id", "seq", "last_temp", "cur_temp") == rows(want, "id", "seq", "last_temp", "cur_temp")
+    over = keyed(spark, folder, ["id"], proc.OverRows(2), ONE_FILE)
+    want = rolling.over_rows(holes, "id", ["seq"], BLOCKS, 2, "id", "temperature")
+    columns = ["id", "seq", "cnt", F.round("avg_temp", 6)]
+    assert rows(over, *columns) == rows(want, *columns)
+    changes = keyed(spark, folder, ["id"], proc.Changelog(), ONE_FILE)
+    last = changes.filter("op").groupBy("id").agg(F.max_by(F.struct("avg_temp", "cnt"), "seq").alias("v")).select("id", F.round("v.avg_temp", 6), "v.cnt")
+    assert rows(last) == rows(holes.groupBy("id").agg(F.round(F.avg("temperature"), 6), F.count(F.lit(1))))
+    kinds = keyed(spark, folder, ["id"], proc.StateKinds(3), ONE_FILE)
+    best = kinds.groupBy("id").agg(F.max_by("max_temp", "seq"))
+    assert rows(best) == rows(holes.groupBy("id").agg(F.max("temperature")))
