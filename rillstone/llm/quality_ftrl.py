@@ -52,7 +52,7 @@ class WordCodes(dict):
 
     def __missing__(self, word: str) -> tuple[int, int]:
         codes = (xxhash.xxh3_64_intdigest(word.lower()), xxhash.xxh3_64_intdigest(shape(word)))
-        if len(self) > 300_000:
+        if len(self) > 200_000:
             self.clear()
         if len(word) <= 64:
             self[word] = codes
@@ -149,17 +149,21 @@ def train(docs: DataFrame, labels: DataFrame, bits: int = BITS, sample: int = SA
     return total
 
 
-def score(docs: DataFrame, weights: np.ndarray, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns in `keep` and `score`, from 0 to 1."""
+def score(
+    docs: DataFrame, weights: np.ndarray, text: str = "text", keep: tuple[str, ...] = ("doc_id",), name: str = "score"
+) -> DataFrame:
+    """The columns in `keep` and the score, from 0 to 1."""
     bits = int(len(weights) - 1).bit_length() - 1
     packed = base64.b64encode(zlib.compress(weights.astype("<f4").tobytes())).decode()
-    out = docs.select(*keep).schema.add("score", "double")
+    out = docs.select(*keep).schema.add(name, "double")
+    sent = list(keep) if text in keep else [*keep, text]
+    place = sent.index(text)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = np.frombuffer(zlib.decompress(base64.b64decode(packed)), "<f4").astype(float)
         features = in_worker(("quality features", bits), lambda: Features(bits))
         for batch in batches:
-            for part, texts in slices(batch, "_text"):
+            for part, texts in slices(batch, place):
                 dots = []
                 for t in texts:
                     at, values = features.of(t)
@@ -169,7 +173,7 @@ def score(docs: DataFrame, weights: np.ndarray, text: str = "text", keep: tuple[
                     names=out.fieldNames(),
                 )
 
-    return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(scored, out)
+    return docs.select(*sent).mapInArrow(scored, out)
 
 
 def op5(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -182,6 +186,8 @@ def op5(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents scored 0.5 or more, in their own columns."""
-    row = F.struct(*[F.col(c) for c in docs.columns])
-    scored = score(docs.select(row.alias("row"), "text"), train(docs, labels), keep=("row",))
-    return scored.where("score >= 0.5").select("row.*")
+    name = "score"
+    while name in docs.columns:
+        name = "_" + name
+    scored = score(docs, train(docs, labels), keep=tuple(docs.columns), name=name)
+    return scored.where(F.col(name) >= 0.5).drop(name)

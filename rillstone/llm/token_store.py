@@ -17,7 +17,9 @@ import re
 import sys
 import types
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +31,7 @@ from rillstone.llm.common import Workspace
 
 END_ID = 2
 SLICE_CHARS = 2_000_000
-CACHED_WORDS = 400_000
+CACHED_WORDS = 600_000
 
 #: Row groups and pages of a store, and encodings by column.
 LAYOUT = {
@@ -55,9 +57,13 @@ STORE = T.StructType(
 
 
 def in_worker(key: tuple, make: Callable):
-    """What `make` returns, made once for each Python worker: workers outlive tasks, functions don't."""
+    """What `make` returns, made once for each Python worker: workers outlive tasks, functions don't.
+
+    A worker keeps only what it was last asked for.
+    """
     home = sys.modules.setdefault("_rillstone_llm_worker", types.ModuleType("_rillstone_llm_worker"))
     if key not in home.__dict__.setdefault("made", {}):
+        home.made.clear()
         home.made[key] = make()
     return home.made[key]
 
@@ -97,16 +103,19 @@ class WordIds:
         cut = [self.parts(t) for t in texts]
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
-        new = list(set().union(*cut).difference(self.known))
+        new: set = set()
+        for ps in cut:
+            new.update(filterfalse(self.known.__contains__, ps))
+        new = list(new)
         found = self.tokenizer.encode_batch_fast(
             [p if isinstance(p, str) else p.decode() for p in new], add_special_tokens=False
         )
-        self.known.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(new, found))
+        self.known.update((p, array("i", e.ids).tobytes()) for p, e in zip(new, found))
         ids = self.known.__getitem__
         return [b"".join(map(ids, ps)) for ps in cut]
 
 
-def slices(batch: pa.RecordBatch, text: str) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+def slices(batch: pa.RecordBatch, text: str | int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Parts of a batch that hold a bounded number of characters, or one text."""
     texts = [t or "" for t in batch.column(text).to_pylist()]
     start = size = 0
