@@ -209,7 +209,10 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, words: int, coordinates: in
                 sets = [shingles.of(t).tobytes() for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(sets, pa.binary())], names=["node", "shingles"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(wanted, "node", "left_semi")
+    # the wanted ids grow with the input, so they are merged at every size and never broadcast
+    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(
+        wanted.hint("merge"), "node", "left_semi"
+    )
     return texts.mapInArrow(build, "node long, shingles binary")
 
 
