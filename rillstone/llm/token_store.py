@@ -12,6 +12,7 @@ gives an empty store; other columns are not stored.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import sys
@@ -19,7 +20,6 @@ import types
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
-from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -75,6 +75,18 @@ def load_tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def without_cuts(tokenizer):
+    """The tokenizer for parts that are already lower-cased and cut: it only writes bytes as letters."""
+    from tokenizers import Tokenizer
+
+    rules = json.loads(tokenizer.to_str())
+    steps = rules["pre_tokenizer"]["pretokenizers"]
+    kinds = [s["type"] for s in rules["normalizer"]["normalizers"]]
+    if kinds != ["NFC", "Replace", "Lowercase"] or [s["type"] for s in steps] != ["Split", "ByteLevel"]:
+        raise ValueError("this store's tokenizers lower-case, drop white space and merge bytes of words")
+    return Tokenizer.from_str(json.dumps(rules | {"normalizer": None, "pre_tokenizer": steps[1]}))
+
+
 class WordIds:
     """Ids of texts as the tokenizer gives them, with a dictionary of the words it has encoded.
 
@@ -92,8 +104,13 @@ class WordIds:
     def __init__(self, path: str):
         self.tokenizer = load_tokenizer(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.bare = without_cuts(self.tokenizer)
         self.known: dict[str | bytes, bytes] = {}
 
+    def ids_of(self, tokenizer, parts: list, texts: list[str]) -> None:
+        found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        self.known.update((p, array("i", e.ids).tobytes()) for p, e in zip(parts, found))
+
     def parts(self, text: str) -> list:
         if self.OTHER.search(text) or any(s in text for s in self.special):
             return text.encode().split()
@@ -103,14 +120,10 @@ class WordIds:
         cut = [self.parts(t) for t in texts]
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
-        new: set = set()
-        for ps in cut:
-            new.update(filterfalse(self.known.__contains__, ps))
-        new = list(new)
-        found = self.tokenizer.encode_batch_fast(
-            [p if isinstance(p, str) else p.decode() for p in new], add_special_tokens=False
-        )
-        self.known.update((p, array("i", e.ids).tobytes()) for p, e in zip(new, found))
+        new = set().union(*cut).difference(self.known)
+        cuts, words = [p for p in new if isinstance(p, str)], [p for p in new if isinstance(p, bytes)]
+        self.ids_of(self.bare, cuts, cuts)
+        self.ids_of(self.tokenizer, words, [w.decode() for w in words])
         ids = self.known.__getitem__
         return [b"".join(map(ids, ps)) for ps in cut]
 
