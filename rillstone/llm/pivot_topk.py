@@ -81,7 +81,7 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Exact inner products of whole-number rows with one vector, as int64."""
-    if not a.size or np.abs(a).max() * np.abs(b).max() * len(b) < EXACT:
+    if not a.size or max(a.max(), -a.min()) * np.abs(b).max() * len(b) < EXACT:
         return (a @ b).astype(np.int64)
     exact = [sum(int(x) * int(y) for x, y in zip(row, b)) for row in a]
     if any(abs(x) >= 2**63 for x in exact):
@@ -96,7 +96,7 @@ class Block:
         order = np.argsort(ids, kind="stable")
         self.ids, self.points = ids[order], points[order]
         self.pivots = pivots
-        self.table = distances(self.points, pivots)
+        self.table = np.ascontiguousarray(distances(self.points, pivots).T)
         self.squares = (self.points * self.points).sum(1)
 
     def bounds(self, query: np.ndarray) -> np.ndarray:
@@ -104,7 +104,7 @@ class Block:
         square = query @ query
         if not len(self.pivots):
             return np.sqrt(square * self.squares) * (1 + 1e-9) + 1e-6
-        gap = np.abs(self.table - distances(query[None], self.pivots)).max(axis=1)
+        gap = np.abs(self.table - distances(query[None], self.pivots).T).max(axis=0)
         both = square + self.squares
         # distances carry rounding errors of about the root of the machine precision
         return (both - np.maximum(gap - 1e-6 * np.sqrt(both) - 1e-3, 0) ** 2) / 2 + 1e-9 * both + 1e-6
@@ -115,13 +115,19 @@ class Block:
         open_rows = np.flatnonzero((bounds >= at_least) & (self.ids != query_id))
         open_rows = open_rows[np.argsort(-bounds[open_rows], kind="stable")]
         rows, scores = np.empty(0, np.int64), np.empty(0, np.int64)
-        at, step = 0, 64
+        at, step, whole = 0, 64, None
         while at < len(open_rows):
             if len(rows) == k and bounds[open_rows[at]] < scores[-1]:
                 break
             more = open_rows[at : at + step]
+            if whole is None and 4 * len(more) > len(self.points):
+                whole = products(self.points, query)  # cheaper than to gather so many rows
+            found = products(self.points[more], query) if whole is None else whole[more]
+            if len(rows) == k:
+                good = found >= scores[-1]
+                more, found = more[good], found[good]
             rows = np.concatenate([rows, more])
-            scores = np.concatenate([scores, products(self.points[more], query)])
+            scores = np.concatenate([scores, found])
             keep = np.lexsort((rows, -scores))[:k]
             rows, scores = rows[keep], scores[keep]
             at, step = at + step, step * 4
