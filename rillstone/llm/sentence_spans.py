@@ -2,8 +2,10 @@
 
 Every run of `run` consecutive sentences is hashed; runs are joined over all documents, and the
 sentences of every run that occurred before (in a document of smaller id, or earlier in the same
-one) are removed. Sentences end at . ! ? before white space and at line ends; one of more than
-`longest` words counts as several, so that a long passage is never a single sentence. Letter case
+one) are removed. Sentences end at . ! ? before white space and at line ends. Away from these ends
+they are cut at words picked by a hash of the words around them, and have at most `longest` words, so
+a passage has the same pieces at any place in a long sentence. What is lost of it is at most
+the piece at each end that it shares with the text around it, and a few words more. Letter case
 and white space don't matter to a comparison. Runs of fewer than `min_words` words are left out, as
 short phrases recur by chance.
 
@@ -29,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rillstone.llm.common import Workspace, run_hashes
+from rillstone.llm.common import WordHashes, Workspace, mixed, run_hashes
 
 RUN = 3
 LONGEST = 16
@@ -38,42 +40,93 @@ MIN_WORDS = 10
 END = re.compile(r"(?<=[.!?])\s+|\s*\n\s*")
 WORD = re.compile(r"\S+\s*")
 
+# Between cuts inside a sentence lie over REACH words, between one and a sentence's end at least APART.
+REACH = 3
+APART = 5
+
+HASHES = WordHashes(100_000)
+LAST = np.uint64(2**64 - 1)
+
 SPANS = "doc_id long, span long, times int"
 
 
+def lowest(keys: np.ndarray, at: np.ndarray, reach: int) -> np.ndarray:
+    """Those of the sorted places `at` with the lowest key within `reach` words, one of equal ones."""
+    some = np.full(len(keys), LAST)
+    some[at] = keys[at]
+    low = some.copy()
+    for k in range(1, reach + 1):
+        np.minimum(low[k:], some[:-k], out=low[k:])
+        np.minimum(low[:-k], some[k:], out=low[:-k])
+    at = at[some[at] == low[at]]
+    if len(at) < 2 or np.diff(at).min() > reach:
+        return at
+    kept = [-reach - 1]
+    for i in at.tolist():
+        if i - kept[-1] > reach:
+            kept.append(i)
+    return np.array(kept[1:], np.int64)
+
+
+def cuts(words: list[str], stops: np.ndarray, text: str, longest: int) -> np.ndarray:
+    """Number of words before each cut of a text, from 0 to all of them.
+
+    Cuts are the ends of sentences and, `APART` words or more from these, words with the lowest
+    hash among the `REACH` words on both sides. So a cut depends on the few words around it only,
+    and a passage is cut alike wherever it stands. A stretch of over `longest` words is cut again at
+    its lowest hash.
+    """
+    n = len(words)
+    if not n:
+        return np.zeros(1, np.int64)
+    ended = np.array([m.end() for m in END.finditer(text)], np.int64)
+    sentence = np.isin(stops, ended)
+    sentence[-1] = True
+    hashes = HASHES.of(words)
+    keys = hashes.copy()
+    keys[1:] += hashes[:-1] * np.uint64(0x9E3779B97F4A7C15)
+    keys = mixed(keys) >> np.uint64(1)
+    keys[~sentence] |= np.uint64(1 << 63)  # ends of sentences come before other words
+    near = sentence.copy()
+    for k in range(1, APART):
+        near[k:] |= sentence[:-k]
+        near[:-k] |= sentence[k:]
+    near[: APART - 1] = True
+    inner = np.flatnonzero(~near)
+    if len(inner):
+        sentence[lowest(keys, inner, REACH)] = True
+    edges = np.concatenate([[0], np.flatnonzero(sentence) + 1])
+    wide = np.flatnonzero(np.diff(edges) > longest)
+    if not len(wide):
+        return edges
+    more, todo = [], list(zip(edges[wide].tolist(), edges[wide + 1].tolist()))
+    while todo:
+        a, b = todo.pop()
+        if b - a > longest:
+            away = min(APART, longest // 2)
+            at = a + away + int(keys[a + away - 1 : b - away].argmin())
+            more.append(at)
+            todo += [(a, at), (at, b)]
+    return np.sort(np.concatenate([edges, more]))
+
+
 class Sentences:
     """A text's sentences: where each ends, its number of words, and the hashes of all runs."""
 
     def __init__(self, text: str, run: int, longest: int, min_words: int):
-        self.ends: list[int] = []
-        hashes, sizes = [], []
-        start = 0
-        for end in [*(m.end() for m in END.finditer(text)), len(text)]:
-            if end == start:
-                continue
-            words = text[start:end].lower().split()
-            if len(words) <= longest:
-                self.ends.append(end)
-                sizes.append(len(words))
-                hashes.append(xxhash.xxh3_64_intdigest(" ".join(words)))
-            else:
-                stops = [start + m.end() for m in WORD.finditer(text[start:end].lstrip())]
-                shift = len(text[start:end]) - len(text[start:end].lstrip())
-                for at in range(0, len(words), longest):
-                    part = words[at : at + longest]
-                    self.ends.append(stops[at + len(part) - 1] + shift)
-                    sizes.append(len(part))
-                    hashes.append(xxhash.xxh3_64_intdigest(" ".join(part)))
-                self.ends[-1] = end
-            start = end
+        words = text.lower().split()
+        stops = np.array([m.end() for m in WORD.finditer(text)], np.int64)
+        edges = cuts(words, stops, text, longest)
+        self.ends: list[int] = stops[edges[1:] - 1].tolist()
         self.run = run
-        self.sizes = np.array(sizes, np.int64)
-        if len(hashes) < run:
+        self.sizes = np.diff(edges)
+        if len(self.sizes) < run:
             self.spans, self.long = np.empty(0, np.int64), np.empty(0, bool)
             return
+        at = edges.tolist()
+        hashes = [xxhash.xxh3_64_intdigest(" ".join(words[a:b])) for a, b in zip(at, at[1:])]
         self.spans = run_hashes(np.array(hashes, np.uint64), run).view(np.int64)
-        total = np.concatenate([[0], np.cumsum(self.sizes)])
-        self.long = total[run:] - total[:-run] >= min_words
+        self.long = edges[run:] - edges[:-run] >= min_words
 
     def counted(self) -> tuple[np.ndarray, np.ndarray]:
         return np.unique(self.spans[self.long], return_counts=True)

@@ -416,3 +416,15 @@ def test_repeated_sentences_are_cut(spark, docs, texts):
     assert got[5001][0].split() == ["Other", "more"] and got[5002][0] == "" and 5000 not in got
     whole = {r["doc_id"]: r["text"] for r in sentence_spans.remove_repeats(frame).collect()}
     assert whole == {i: w[0] for i, w in want.items() if w[0].strip() or not w[1]}
+
+
+def test_passages_inside_long_sentences_are_cut(spark):
+    passage = " ".join(f"p{i * 7919 % 1009}" for i in range(51))
+    rows = [(i, " ".join([*(f"a{i}b{k}" for k in range(before)), passage, *(f"c{i}d{k}" for k in range(20))])) for i, before in enumerate((0, 5, 16, 23, 40))]
+    rows.append((5, f"Its first sentence is glued to this {passage}. And this is not."))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in sentence_spans.op10(frame).collect()}
+    assert sorted(got) == [1, 2, 3, 4, 5]
+    for i, r in got.items():
+        gone = set(rows[i][1].split()) - set(r["text"].split())
+        assert r["first_doc_ids"][0] == 0 and 25 <= len(gone) <= 51 and gone <= set(passage.split())
