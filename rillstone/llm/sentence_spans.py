@@ -5,9 +5,11 @@ sentences of every run that occurred before (in a document of smaller id, or ear
 one) are removed. Sentences end at . ! ? before white space and at line ends. Away from these ends
 they are cut at words picked by a hash of the words around them, and have at most `longest` words, so
 a passage has the same pieces at any place in a long sentence. What is lost of it is at most
-the piece at each end that it shares with the text around it, and a few words more. Letter case
-and white space don't matter to a comparison. Runs of fewer than `min_words` words are left out, as
-short phrases recur by chance.
+the piece at each end that it shares with the text around it, and a few words more. Pieces so
+short that runs would have fewer than `min_words` words (lists, verse) are joined, again where the
+content says so, as shorter phrases recur by chance; only at the ends of a text, or beside a short
+sentence between longer ones, may a shorter run be left out. Letter case and white space don't
+matter to a comparison.
 
 Each document posts a hash once, with the times it holds it. Hashes are counted with partial sums
 before the shuffle, and only those met twice are joined back, where adaptive execution splits a
@@ -68,7 +70,41 @@ def lowest(keys: np.ndarray, at: np.ndarray, reach: int) -> np.ndarray:
     return np.array(kept[1:], np.int64)
 
 
-def cuts(words: list[str], stops: np.ndarray, text: str, longest: int) -> np.ndarray:
+def joined(edges: np.ndarray, keys: np.ndarray, run: int, min_words: int) -> np.ndarray:
+    """The cuts without some of those between short pieces, so that runs have `min_words` words.
+
+    Of the cuts inside short runs those with the lowest hash within a reach stay, which again depends
+    on the words around them only. Short runs stay where longer ones hold all of their pieces, as
+    around a single short sentence, and at the ends of a text.
+    """
+    reach = REACH
+    while len(edges) > run:
+        short = edges[run:] - edges[:-run] < min_words
+        if not short.any():
+            break
+        if short.all():
+            hurt = short
+        else:
+            alone = np.ones(max(len(short) - run + 1, 0), bool)  # pieces of which all runs are short
+            for k in range(run):
+                alone &= short[k : k + len(alone)]
+            hurt = np.zeros(len(short), bool)
+            for k in range(run):
+                hurt[k : k + len(alone)] |= alone
+            if not hurt.any():
+                break
+        crowded = np.zeros(len(edges), bool)
+        for k in range(1, run):
+            crowded[k : k + len(hurt)] |= hurt
+        if not crowded.any():
+            break
+        kept = lowest(keys, edges[crowded] - 1, reach) + 1
+        edges = np.sort(np.concatenate([edges[~crowded], kept]))
+        reach += 1
+    return edges
+
+
+def cuts(words: list[str], stops: np.ndarray, text: str, run: int, longest: int, min_words: int) -> np.ndarray:
     """Number of words before each cut of a text, from 0 to all of them.
 
     Cuts are the ends of sentences and, `APART` words or more from these, words with the lowest
@@ -96,6 +132,8 @@ def cuts(words: list[str], stops: np.ndarray, text: str, longest: int) -> np.nda
     if len(inner):
         sentence[lowest(keys, inner, REACH)] = True
     edges = np.concatenate([[0], np.flatnonzero(sentence) + 1])
+    if n >= min_words:
+        edges = joined(edges, keys, run, min_words)
     wide = np.flatnonzero(np.diff(edges) > longest)
     if not len(wide):
         return edges
@@ -116,7 +154,7 @@ class Sentences:
     def __init__(self, text: str, run: int, longest: int, min_words: int):
         words = text.lower().split()
         stops = np.array([m.end() for m in WORD.finditer(text)], np.int64)
-        edges = cuts(words, stops, text, longest)
+        edges = cuts(words, stops, text, run, longest, min_words)
         self.ends: list[int] = stops[edges[1:] - 1].tolist()
         self.run = run
         self.sizes = np.diff(edges)

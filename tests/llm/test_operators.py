@@ -428,3 +428,17 @@ def test_passages_inside_long_sentences_are_cut(spark):
     for i, r in got.items():
         gone = set(rows[i][1].split()) - set(r["text"].split())
         assert r["first_doc_ids"][0] == 0 and 25 <= len(gone) <= 51 and gone <= set(passage.split())
+
+
+def test_passages_of_short_lines_are_cut(spark):
+    lines = "\n".join(f"one{i} two{i} three{i}" for i in range(40))
+    shouts = " ".join(f"word{i}.!!" for i in range(90))
+    same = "of. " * 100
+    rows = [
+        (0, f"Some text of one document.\n{lines}\nIts end."), (1, f"Another begins.\nOtherwise.\n{lines}\nAnd goes on here."),
+        (2, shouts), (3, f"x!! y!! {shouts}"), (4, same), (5, "One. Two. Three. Four."), (6, "One. Two. Three. Four."),
+    ]
+    got = {r["doc_id"]: r for r in sentence_spans.op10(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sorted(got) == [1, 3, 4]  # four words are no passage
+    assert got[1]["words_removed"] >= 100 and got[3]["words_removed"] >= 75 and got[4]["words_removed"] >= 60
+    assert got[1]["first_doc_ids"] == [0] and got[3]["first_doc_ids"] == [2]
