@@ -254,6 +254,21 @@ def test_hard_texts_and_other_models(raw):
     assert [t for t, ok in zip(few, same) if not ok] == ([] if raw == "file" else ["<s> <0x41>"])
 
 
+def test_agreed_ids_are_those_of_the_tokenizers_library():
+    class Agreed(list):
+        def __eq__(self, other):
+            return True
+
+    class Other:
+        def encode(self, texts):
+            return [Agreed([0]) for _ in texts]
+
+    pieces = sentencepiece_backend.Pieces(sentencepiece_backend.read_model(queries.PIECES), 2)
+    want = [x.ids for x in pieces.tokenizer.encode_batch_fast(["two words"], add_special_tokens=False)]
+    pieces.oracle = Other()
+    assert [np.frombuffer(i, "<i4").tolist() for i, _ in pieces.whole(["two words"])] == want
+
+
 # 5: quality
 
 
