@@ -43,7 +43,7 @@ WORD, WORDS, SHAPE, SHAPES, AGAIN = KINDS
 
 
 def shape(word: str) -> str:
-    kinds = ["A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word[:64]]
+    kinds = ["A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word]
     return "".join(k for k, before in zip(kinds, ["", *kinds]) if k != before)
 
 

@@ -287,6 +287,12 @@ def test_held_out_labels_are_not_used(spark, sf, docs):
     assert (quality_ftrl.train(docs, labels) == quality_ftrl.train(docs, other)).all()
 
 
+def test_shapes_are_of_whole_words():
+    assert quality_ftrl.shape("a" * 64 + "7B") == "a0A"
+    features = quality_ftrl.Features(quality_ftrl.BITS)
+    assert features.codes["x" * 70][1] != features.codes["x" * 70 + "9"][1]
+
+
 # 6: top k
 
 
