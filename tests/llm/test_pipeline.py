@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(__file__))
 
-from test_operators import plain_components, plain_cut  # noqa: E402
+from test_llm_operators import plain_components, plain_cut  # noqa: E402
 
 from rillstone.llm import mixing, quality_ftrl, queries  # noqa: E402
 from rillstone.llm.common import table  # noqa: E402
