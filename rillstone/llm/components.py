@@ -2,36 +2,47 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillstone.llm.common import Workspace
 
 
-def least_neighbour(edges: DataFrame) -> DataFrame:
-    return edges.groupBy("a").agg(F.min("b").alias("least"))
+SALTS = 64
+
+
+def with_least(edges: DataFrame) -> DataFrame:
+    """The edges with the least neighbour of their node `a`.
+
+    A node's edges are dealt over `SALTS` tasks: first the least of each share is found, then the least of at most
+    `SALTS` rows per node, which goes back to every share.
+    """
+    dealt = edges.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)))
+    shares = dealt.groupBy("a", "salt").agg(F.min("b").alias("least"))
+    least = shares.select("a", "salt", F.min("least").over(Window.partitionBy("a")).alias("least"))
+    return dealt.join(least, ["a", "salt"]).select("a", "b", "least")
 
 
 def outward(edges: DataFrame) -> DataFrame:
     """Connect each node's larger neighbours to the least node next to it."""
     both = edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = least_neighbour(both).select("a", F.least("a", "least").alias("least"))
-    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+    near = with_least(both).where("b > a")
+    return near.select(F.col("b").alias("a"), F.least("a", "least").alias("b"))
 
 
 def inward(edges: DataFrame) -> DataFrame:
     """Connect each node and its smaller neighbours to the least of them; every edge leads down."""
-    least = least_neighbour(edges)
-    moved = edges.join(least, "a").where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
-    return moved.unionAll(least.select("a", F.col("least").alias("b")))
+    near = with_least(edges)
+    moved = near.where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
+    return moved.unionAll(near.where("b = least").select("a", "b"))
 
 
 def components(edges: DataFrame, work: Workspace) -> DataFrame:
     """Nodes (`a`) that aren't the least of their component, with that least node (`b`).
 
     `edges` has columns a and b, in any direction. Each round is written to the shared folder. The
-    number of rounds is about the logarithm of the longest path; no node's edges meet in a task,
-    only their minimum.
+    number of rounds is about the logarithm of the longest path. No node's edges meet in a task: they are
+    dealt by their other end, and only the least of each share meets the others.
     """
     down = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     state, now = None, work.store(down, "edges-0")

@@ -7,8 +7,8 @@ Transitions between languages are learned together with them. Forward-backward s
 word's probabilities; a document's language is the one with most of the words' probability, and its
 score that language's share.
 
-Training reads a bounded sample: for each language `documents` texts of smallest id hash, and of each
-text `windows` runs of `window` words, spread over the whole text. The runs are strung together
+Training reads a bounded sample: for each language `documents` texts with a letter, of smallest hash, and of each
+text `windows` runs of `window` words, spread over the whole text; a shorter text is one run. The runs are strung together
 across languages, which is how the transitions learn to switch. The lexicons hold the words that
 `lexicon_min` runs of a language contain.
 
@@ -16,7 +16,8 @@ Scoring cuts all texts' words into pieces of `PIECE` words. The pieces' transiti
 side by side and chained per text, which gives the exact sums for texts of any length.
 
 Defined results: a null text, or one without letters, is `und` with score 0; words without letters have no
-label; rows without a language aren't learned from; without any row to learn from all texts are `und`;
+label; ties go to the language whose name comes first; rows without a language aren't learned from, and repeated
+rows are one text to learn from, but are labelled row by row; without any row to learn from all texts are `und`;
 rows with a null id count as held in; other columns are never read.
 """
 
@@ -86,8 +87,10 @@ class Crf:
 
     def listed(self, words: list[str]) -> np.ndarray:
         """Which lexicons list each word."""
-        masks = np.array([self.lexicon.get(w, 0) for w in words], np.int64)
-        return (masks[:, None] >> np.arange(len(self.languages)) & 1).astype(float)
+        width = -(-len(self.languages) // 8)
+        masks = b"".join(self.lexicon.get(w, 0).to_bytes(width, "little") for w in words)
+        bits = np.unpackbits(np.frombuffer(masks, np.uint8).reshape(len(words), width), axis=1, bitorder="little")
+        return bits[:, : len(self.languages)].astype(float)
 
     def emissions(self, words: list[str]) -> np.ndarray:
         """Each word's score for each language."""
@@ -145,10 +148,13 @@ class Crf:
 
 
 def fit(runs: list[tuple[str, list[str]]], rounds: int, lexicon_min: int, rate: float = 0.5, seed: int = 7) -> Crf | None:
-    """Weights learned from runs of words of one language each, strung together at random."""
+    """Weights learned from runs of words of one language each, strung together at random.
+
+    A run of fewer words than the longest is repeated until it is as long.
+    """
     runs = [(lang, [w for w in map(letters, words) if w]) for lang, words in runs]
     size = max((len(words) for _, words in runs), default=0)
-    runs = [run for run in runs if len(run[1]) == size]
+    runs = [(lang, (words * size)[:size]) for lang, words in runs if words]
     if not size:
         return None
     languages = sorted({lang for lang, _ in runs})
@@ -215,19 +221,29 @@ def fit(runs: list[tuple[str, list[str]]], rounds: int, lexicon_min: int, rate:
 
 
 def training_runs(docs: DataFrame, documents: int, windows: int, window: int) -> DataFrame:
-    """(lang, words, order): the bounded sample's runs of words."""
-    open_rows = docs.where(crc32_mod("doc_id", FOLDS) != HELD_OUT).where("lang is not null and text is not null")
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = open_rows.select("lang", "doc_id").withColumn("rank", rank).where(F.col("rank") <= documents)
+    """(lang, words, order): the bounded sample's runs of words.
+
+    A language's texts are chosen by a hash of id and text. Only those whose hash lies below a share that
+    leaves some three times the wanted number are ranked, so the ranked rows don't grow with the input.
+    Repeated rows are one text.
+    """
+    open_rows = docs.where(crc32_mod("doc_id", FOLDS) != HELD_OUT).where(F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}"))
+    hashed = open_rows.select("lang", F.xxhash64("doc_id", "text").alias("hash"), "text")
+    different = hashed.groupBy("lang").agg(F.approx_count_distinct("hash").alias("n"))
+    share = (F.col("hash") / 2.0**64 + 0.5) * F.col("n") <= 3 * documents
+    below = hashed.join(different, "lang").where(share).dropDuplicates(["lang", "hash"])
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("hash"))
+    chosen = below.select("lang", "text", rank.alias("rank")).where(F.col("rank") <= documents)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
             for lang, order, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 words = [w for w in text.split() if any(map(str.isalpha, w))]
-                room = len(words) - window
-                for k in range(min(windows, len(words) // window)):
-                    at = room * k // max(1, min(windows, len(words) // window) - 1)
+                room = max(0, len(words) - window)
+                cuts = min(windows, max(1, len(words) // window))
+                for k in range(cuts):
+                    at = room * k // max(1, cuts - 1)
                     found.append((lang, order * windows + k, words[at : at + window]))
             if found:
                 yield pa.RecordBatch.from_arrays(
@@ -235,8 +251,7 @@ def training_runs(docs: DataFrame, documents: int, windows: int, window: int) ->
                     names=["lang", "order", "words"],
                 )
 
-    texts = open_rows.select("lang", "doc_id", "text").join(F.broadcast(chosen.dropDuplicates(["lang", "doc_id"])), ["lang", "doc_id"])
-    return texts.select("lang", F.col("rank").cast("long"), "text").mapInArrow(cut, "lang string, order long, words array<string>")
+    return chosen.select("lang", F.col("rank").cast("long"), "text").mapInArrow(cut, "lang string, order long, words array<string>")
 
 
 def train(

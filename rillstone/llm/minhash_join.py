@@ -20,7 +20,9 @@ A near-copy group of m different texts costs m * m / block rows of signatures, i
 
 Defined results: texts without words, and nulls, have an empty set and are linked with nothing; a text
 with fewer words than a shingle has one shingle; rows with a null id have no component and are kept;
-rows that share an id are judged each by its text; other columns pass through `keep_one`.
+rows that share an id are judged each by its text, and `keep_one` keeps of a component the text of its
+smallest id (of several texts under that id, the one of least hash; whole repeats of that row stay
+with it); other columns pass through `keep_one`.
 """
 
 from __future__ import annotations
@@ -79,7 +81,7 @@ class Shingles:
 
 
 def signed(docs: DataFrame, words: int, coordinates: int) -> DataFrame:
-    """Per document its set's size, the set's 128-bit hash and its signature."""
+    """Per document a hash of its text, its set's size, the set's 128-bit hash and its signature."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(words, coordinates)
@@ -93,14 +95,14 @@ def signed(docs: DataFrame, words: int, coordinates: int) -> DataFrame:
             key = np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"), pa.array(n, pa.int64()),
+                    batch.column("doc_id"), batch.column("text_hash"), pa.array(n, pa.int64()),
                     pa.array(key[:, 0]), pa.array(key[:, 1]), pa.array(signatures, pa.binary()),
                 ],
-                names=["doc_id", "n_shingles", "k1", "k2", "signature"],
+                names=["doc_id", "text_hash", "n_shingles", "k1", "k2", "signature"],
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        sign, "doc_id long, n_shingles long, k1 long, k2 long, signature binary"
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
+        sign, "doc_id long, text_hash long, n_shingles long, k1 long, k2 long, signature binary"
     )
 
 
@@ -199,7 +201,7 @@ def promising(rows: DataFrame, coordinates: int, matches: int) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, words: int, coordinates: int) -> DataFrame:
-    """The full sets of the wanted documents, as bytes."""
+    """The full sets of the wanted classes (`node`), as bytes, from the texts that stand for them."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(words, coordinates)
@@ -210,10 +212,10 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, words: int, coordinates: in
                 yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(sets, pa.binary())], names=["node", "shingles"])
 
     # the wanted ids grow with the input, so they are merged at every size and never broadcast
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(
-        wanted.hint("merge"), "node", "left_semi"
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").join(
+        wanted.select("doc_id", "text_hash", "node").hint("merge"), ["doc_id", "text_hash"]
     )
-    return texts.mapInArrow(build, "node long, shingles binary")
+    return texts.select("node", "text").mapInArrow(build, "node long, shingles binary")
 
 
 def confirmed(rows: DataFrame, coordinates: int, matches: int, percent: int) -> DataFrame:
@@ -251,44 +253,58 @@ def confirmed(rows: DataFrame, coordinates: int, matches: int, percent: int) ->
     return rows.repartition("key").sortWithinPartitions("key").mapInArrow(linked, "a long, b long")
 
 
-def near_duplicates(
+def near_duplicates(docs: DataFrame, **options) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept; for the options see `labelled`."""
+    return labelled(docs, **options).select(
+        "doc_id", "n_shingles", F.coalesce("first.doc_id", "doc_id").alias("component_id"),
+        F.coalesce(F.col("first.doc_id") == F.col("doc_id"), F.lit(True)).alias("kept"),
+    )
+
+
+def labelled(
     docs: DataFrame, words: int = 5, percent: int = 80,
     coordinates: int = COORDINATES, miss: float = MISS, block: int = BLOCK,
 ) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept.
+    """One row per document: doc_id, text_hash, n_shingles and `first`, its component's smallest (doc_id, text_hash).
 
-    Links are 100 * intersection >= percent * union of the sets of `words`-word shingles. A
-    component is named by its smallest id, which is the document kept.
+    Links are 100 * intersection >= percent * union of the sets of `words`-word shingles. Nodes are classes of equal
+    sets, numbered, whatever ids their documents have. Rows without a component have no `first`.
     """
     work = Workspace(docs.sparkSession, "minhash")
     matches = match_threshold(percent / 100, coordinates, miss)
     every = work.store(signed(docs, words, coordinates), "signed")
     full = every.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
-    classes = work.store(full.groupBy("k1", "k2").agg(F.min("doc_id").alias("node")), "classes")
-    nodes = full.join(classes, ["k1", "k2"]).where("doc_id = node").select("node", "signature").dropDuplicates(["node"])
-    nodes = work.store(nodes, "nodes")
+    classes = full.groupBy("k1", "k2").agg(
+        F.min(F.struct("doc_id", "text_hash")).alias("first"), F.min("signature").alias("signature")
+    )
+    classes = work.store(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    nodes = classes.select("node", "signature")
     posted = work.store(postings(nodes, coordinates, matches), "posted")
     groups = work.store(promising(members(posted, nodes, block), coordinates, matches), "groups")
-    wanted = groups.select("node").distinct()
+    wanted = groups.select("node").distinct().join(classes.select("node", "first.*"), "node")
     sets = shingle_sets(docs, wanted, words, coordinates).dropDuplicates(["node"])
     links = confirmed(groups.join(sets, "node"), coordinates, matches, percent)
     links = work.store(links, "links")
     found = components(links, work)
-    work.drop("groups", "posted", "nodes", "links")
-    found = classes.join(found, classes["node"] == found["a"], "left").select(
-        "k1", "k2", F.coalesce("b", "node").alias("component_id")
+    work.drop("groups", "posted", "links")
+    # the smallest id of each component, over its classes
+    rooted = found.unionAll(found.select(F.col("b").alias("a"), "b").distinct())
+    firsts = rooted.join(classes.select(F.col("node").alias("a"), "first"), "a")
+    firsts = firsts.groupBy("b").agg(F.min("first").alias("least"))
+    rooted = rooted.join(firsts, "b").select(F.col("a").alias("node"), "least")
+    named = classes.join(rooted, "node", "left").select("k1", "k2", F.coalesce("least", "first").alias("first"))
+    has_node = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
+    return every.join(named, ["k1", "k2"], "left").select(
+        "doc_id", "text_hash", "n_shingles", F.when(has_node, F.col("first")).alias("first")
     )
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return every.join(found, ["k1", "k2"], "left").select(
-        "doc_id", "n_shingles",
-        F.when(F.col("n_shingles") > 0, component).otherwise(F.col("doc_id")).alias("component_id"),
-    ).withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)))
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """The documents without those that are near copies of one with a smaller id."""
-    gone = near_duplicates(docs, **options).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    """The documents without those that are near copies of another one that is kept."""
+    own = F.struct("doc_id", "text_hash")
+    gone = labelled(docs, **options).where(F.col("first").isNotNull() & (F.col("first") != own))
+    gone = gone.select(F.col("doc_id").alias("_gone"), F.col("text_hash").alias("_hash")).distinct()
+    return docs.join(gone, (docs["doc_id"] == gone["_gone"]) & (F.xxhash64(docs["text"]) == gone["_hash"]), "left_anti")
 
 
 def op7(docs: DataFrame) -> DataFrame:

@@ -8,7 +8,8 @@ summed up in order, and a window runs inside each range. So a source that holds
 like any other. Everything is built from DataFrame functions.
 
 Defined results: null texts have size 0 and are taken 0 times; a null source is a source of its own,
-ordered last; repeated rows are separate documents next to each other in the order; an empty table
+ordered last; repeated rows are separate documents next to each other in the order (rows alike in id and
+text share a key, so all repeats of one row lie in one range); an empty table
 gives an empty mix. Reruns agree, as nothing depends on partitions.
 """
 
@@ -67,7 +68,9 @@ def plan_mix(
     """
     spark = docs.sparkSession
     work = Workspace(spark, purpose)
-    key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    # rows without an id, or with one id, still get keys of their own
+    named = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+    key = F.md5(named.cast("binary"))
     keyed = work.store(
         docs.select(
             "doc_id", "source", size.alias("size"), key.alias("key"),
@@ -124,7 +127,7 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
 ORACLE = rf"""
 with sized as (
   select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size,
-         md5(coalesce(cast(doc_id as varchar), '')) as key
+         md5(coalesce(cast(doc_id as varchar), '') || ':' || md5(coalesce(text, ''))) as key
   from documents),
 sources as (select source, sum(size)::bigint as source_size from sized group by source),
 weighed as (

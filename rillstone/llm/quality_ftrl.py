@@ -10,7 +10,7 @@ dealt to `shards` tasks, which learn independently in a fixed order, and the wei
 is scored, whole.
 
 Defined results: null and empty texts have no features and get the score of the bias alone; null labels
-aren't learned from; several labels of a document count one each; without any labelled row every score is
+aren't learned from; several labels of a document count one each, repeats of one label or row once; without any labelled row every score is
 0.5; rows with a null id count as held in; other columns aren't read.
 """
 
@@ -123,13 +123,18 @@ def fit(texts: list[str], labels: list[int], bits: int, epochs: int) -> np.ndarr
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
-    """(text, quality, order): at most `sample` labelled documents outside the held-out fold."""
+    """(text, quality, order): at most `sample` labelled documents outside the held-out fold.
+
+    A repeated id counts once with each label it has, and with its text of least hash.
+    """
     open_rows = docs.where(crc32_mod("doc_id", FOLDS) != HELD_OUT)
     marks = labels.where("quality is not null").select("doc_id", "quality")
     order = F.xxhash64("doc_id")
-    chosen = marks.join(open_rows.select("doc_id"), "doc_id").withColumn("order", order)
+    chosen = marks.join(open_rows.select("doc_id"), "doc_id", "left_semi").distinct().withColumn("order", order)
     chosen = chosen.orderBy("order", "doc_id", "quality").limit(sample)  # the documented bound
-    return open_rows.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "quality", "order")
+    texts = open_rows.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    one = F.min_by("text", F.xxhash64("text")).alias("text")
+    return texts.groupBy("doc_id", "quality", "order").agg(one).select("text", "quality", "order")
 
 
 def train(docs: DataFrame, labels: DataFrame, bits: int = BITS, sample: int = SAMPLE, shards: int = SHARDS, epochs: int = EPOCHS) -> np.ndarray:

@@ -3,10 +3,11 @@
 The model file is parsed here; its normaliser, white-space marker, pieces, scores and byte fallback
 are rebuilt as a tokenizer, for unigram and for pair-merge models. Where the pieces prove that no
 token can span the start of a word, texts are cut there and each distinct part is encoded once per
-worker, in multithreaded batches. Each part's ids are compared with those of the
-sentencepiece library when it is first met; a part on which they differ keeps the latter's ids
-and is reported, so ids are always the model's own. (The unigram core matches the names of control and
-byte pieces in a text, which the model doesn't, so there such names take that way.)
+worker, in multithreaded batches. Ids are those of the rebuilt tokenizer. Each part's ids are compared
+with those of the sentencepiece library when it is first met, and documents with a part on which both
+differ are reported. One kind of part is known beforehand to be rebuilt wrongly and is left to
+sentencepiece: with unigram models, parts that hold the name of a control, unknown or byte piece, which the tokenizers
+library's core takes for the piece itself.
 
 Defined results: null texts stay null when decoded and have no ids; empty texts have no ids; lone
 spaces, unknown characters and long texts are encoded whole; repeated rows and null ids are encoded row
@@ -169,13 +170,21 @@ class Pieces:
         self.mark = np.array([self.tokenizer.token_to_id(MARK) or self.model.unk_id], "<i4").tobytes()
         self.known: dict[str, bytes] = {}
         self.differ = set()
+        names = [piece for piece, _, kind in self.model.pieces if kind in (UNKNOWN, CONTROL, BYTE)]
+        self.named = re.compile("|".join(map(re.escape, names))) if names and self.model.kind == UNIGRAM else None
 
     def whole(self, texts: list[str]) -> list[tuple[bytes, bool]]:
-        """Ids of each text by the tokenizers library, or sentencepiece's if those differ, and whether both agree."""
+        """Ids of each text by the tokenizers library, and whether those of sentencepiece are the same."""
         ours = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         theirs = self.oracle.encode(texts)
-        pairs = [(a.ids, b) for a, b in zip(ours, theirs)]
-        return [(np.array(a if a == b else b, "<i4").tobytes(), a == b) for a, b in pairs]
+        found = []
+        for text, a, b in zip(texts, ours, theirs):
+            ids = a.ids
+            if self.named and self.named.search(text):
+                found.append((np.array(b, "<i4").tobytes(), True))
+            else:
+                found.append((np.array(ids, "<i4").tobytes(), ids == b))
+        return found
 
     def parts(self, text: str) -> list[str]:
         if not text:

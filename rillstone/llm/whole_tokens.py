@@ -11,6 +11,7 @@ counted row by row; long texts are worked on whole; other columns are not read.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -38,6 +39,10 @@ def byte_letters() -> dict[str, int]:
 def whole_tokens(path: str) -> list[str]:
     """Vocabulary strings that are one pre-token and that the tokenizer encodes as one token."""
     tokenizer = load_tokenizer(path)
+    rules = json.loads(tokenizer.to_str())
+    cuts = rules["pre_tokenizer"] or {}
+    if rules["normalizer"] or cuts.get("type") != "ByteLevel" or not cuts.get("use_regex", True) or cuts.get("add_prefix_space"):
+        raise ValueError("texts are cut as byte-level vocabularies do, without a normaliser or a space put before them")
     letters, cut = byte_letters(), regex.compile(PATTERN)
     strings = []
     for piece in tokenizer.get_vocab(with_added_tokens=False):

@@ -8,8 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from rillstone.llm import (
-    langid_crf, minhash_join, mixing, pivot_topk, quality_ftrl, queries, rule_ledger, sentence_spans,
-    sentencepiece_backend, token_store, whole_tokens,
+    collocations, langid_crf, minhash_join, mixing, phrase_index, pivot_topk, quality_ftrl, queries, rule_ledger,
+    sentence_spans, sentencepiece_backend, token_alignment, token_store, whole_tokens,
 )
 from rillstone.llm.common import table
 
@@ -26,6 +26,9 @@ OPERATORS = {
     "op8": lambda docs, labels: whole_tokens.op8(docs, queries.BYTE_VOCABULARY),
     "op9": lambda docs, labels: rule_ledger.op9(docs),
     "op10": lambda docs, labels: sentence_spans.op10(docs),
+    "op11": lambda docs, labels: token_alignment.op11(docs, queries.BYTE_VOCABULARY, queries.PIECES),
+    "op12": lambda docs, labels: phrase_index.op12(docs, docs.select(F.col("doc_id").alias("item_id"), "text").where("doc_id % 7 = 1 or doc_id is null")),
+    "op13": lambda docs, labels: collocations.op13(docs),
 }
 CLASHING = ["row", "size", "key", "range", "copy", "score", "ids", "span", "a", "b", "node", "kept", "order", "words", "target", "_text", "rank", "tie"]
 
@@ -67,9 +70,9 @@ def values(frame):
 def test_odd_rows_have_results(spark, odd, op):
     docs, marks = odd
     got = OPERATORS[op](docs, marks).collect()
-    if op != "op10":
+    if op not in ("op10", "op13"):
         assert len(got) == docs.count()
-    row = {r["doc_id"]: r for r in got}
+    row = {r["doc_id"]: r for r in got} if op != "op13" else {}
     if op == "op1":
         assert all((row[i]["lang_pred"], row[i]["score"]) == ("und", 0.0) for i in (9001, 9002, 9003, 9006))
         assert row[None]["held_out"] is False
@@ -97,6 +100,14 @@ def test_odd_rows_have_results(spark, odd, op):
         assert row[9004]["over_limit"]
     elif op == "op9":
         assert all((row[i]["n_words"], row[i]["base_failed"], row[i]["kept"]) == (0, True, False) for i in (9001, 9002, 9003))
+    elif op == "op11":
+        assert all((row[i]["n_a"], row[i]["n_links"], row[i]["groups_sha256"]) == (0, 0, "") for i in (9001, 9002))
+        assert row[9003]["n_groups"] > 0 and row[9008]["n_groups"] > 0
+    elif op == "op12":
+        assert all((row[i]["n_words"], row[i]["n_hit"], row[i]["contaminated"]) == (0, 0, False) for i in (9001, 9002, 9003))
+        assert row[1]["n_hit"] == row[1]["n_words"] > 0 and row[9005]["n_words"] == 1
+    elif op == "op13":
+        assert {r["lang"] for r in got} >= {"en"} and all(r["l"] >= r["a"] and r["r"] >= r["a"] for r in got)
     elif op == "op10":
         assert not {9001, 9002, 9003, 9005, None} & set(row)
 
