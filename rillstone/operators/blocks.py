@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -49,7 +50,10 @@ class Blocks:
             return df.withColumns({BLOCK: self.of(), HEAVY: F.lit(True)})
         counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > self.heavy_rows)
         heavy = counts.orderBy(F.desc("__n"), *keys).limit(HEAVY_KEYS)
-        flagged = df.join(F.broadcast(heavy.select(*keys, F.lit(True).alias(HEAVY))), list(keys), "left")
+        heavy = heavy.select(*[F.col(k).alias(f"__heavy_{k}") for k in keys], F.lit(True).alias(HEAVY))
+        # null is a key like any other
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__heavy_{k}")) for k in keys])
+        flagged = df.join(F.broadcast(heavy), same, "left").drop(*[f"__heavy_{k}" for k in keys])
         return flagged.withColumns(
             {
                 HEAVY: F.coalesce(F.col(HEAVY), F.lit(False)),

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillstone.operators.blocks import Blocks, Running, running, running_max
+from rillstone.operators.windows import least_record
 
 ON_TIME, ALLOWED, TOO_LATE = "on_time", "allowed", "late"
 
@@ -58,11 +59,11 @@ def split_late(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def min_by_with_lateness(classified: DataFrame, key: str, value: str, tie: str) -> DataFrame:
-    """Final window results when allowed-late rows update their window."""
+    """Final window results when allowed-late rows update their window; null values are skipped as in the windows."""
     kept, _ = split_late(classified)
     fields = [c for c in kept.columns
               if c not in (key, value, tie, "window_end", "late_class", "watermark")]
-    best = F.min(F.struct(F.col(value), F.col(tie), *fields)).alias("r")
+    best = least_record(value, F.struct(F.col(value), F.col(tie), *fields)).alias("r")
     grouped = kept.groupBy(key, "window_end").agg(best)
     return grouped.select(key, "window_end", *[F.col("r")[c].alias(c) for c in (value, tie, *fields)])
 

@@ -25,15 +25,21 @@ def window_end_ms(window: str = "w", name: str = "window_end") -> Column:
 
 
 def tumble_min_by(df: DataFrame, key: str, time: str, size_ms: int, value: str, tie: str) -> DataFrame:
-    """Per key and window: the whole record with the smallest value, the first one on ties."""
+    """Per key and window: the whole record with the smallest value, the first one on ties.
+
+    Null values are skipped; a window of nulls only gives its first record.
+    """
     fields = [c for c in df.columns if c not in (key, time)]
     record = F.struct(F.col(value), F.col(tie), *[c for c in fields if c not in (value, tie)])
-    grouped = df.groupBy(key, F.window(time, duration(size_ms)).alias("w")).agg(
-        F.min(record).alias("r")
-    )
+    grouped = df.groupBy(key, F.window(time, duration(size_ms)).alias("w")).agg(least_record(value, record).alias("r"))
     return grouped.select(key, window_end_ms("w"), *[F.col("r")[c].alias(c) for c in fields])
 
 
+def least_record(value: str, record: Column) -> Column:
+    """The least record among those with a value, or of all if none has one; `record` begins with the value."""
+    return F.coalesce(F.min(F.when(F.col(value).isNotNull(), record)), F.min(record))
+
+
 # Up to this many panes per window get a column each in the two-step sliding count.
 MAX_PANE_COLUMNS = 64
 

@@ -6,7 +6,7 @@ import importlib
 
 from rillstone.plans.catalog import CATALOG, Query
 
-SECTIONS = ["scans", "scalars", "aggregates", "event_windows", "lateral", "stateful", "streams", "jobs", "stream_jobs"]
+SECTIONS = ["scans", "scalars", "aggregates", "event_windows", "lateral", "stateful", "streams", "jobs", "stream_jobs", "event_streams"]
 
 
 def load_all() -> dict[str, Query]:

@@ -17,8 +17,7 @@ from rillstone.schemas import EVENTS
 from rillstone.session import shared_dir
 from rillstone.sources import tables, text
 from rillstone.sources.tables import SEQ_BLOCKS
-from rillstone.streaming import pipelines
-from rillstone.streaming import processors as proc
+from rillstone.streaming import ordered, pipelines
 from rillstone.streaming.carried import changelog_step, late_step
 from rillstone.streaming.runner import Replay, open_replay, run_to_table, with_state
 
@@ -57,8 +56,8 @@ def rising_temp_alert_stream(spark, sf):
     """All alerts, from keyed state and event-time timers."""
 
     def build(events):
-        timed = pipelines.with_event_time(tables.sensor_from(events), delay="0 seconds")
-        return with_state(timed, ["id"], proc.RisingAlert(18_000), "eventTime")
+        timed = ordered.behind_watermark(tables.sensor_from(events), "0 seconds")
+        return with_state(timed, ["id"], ordered.RisingAlertByTime(18_000), "eventTime")
 
     return replayed_in_parts(spark, sf, build).filter("id <> 'sensor_-1'")
 
@@ -68,8 +67,8 @@ def process_element_timers_stream(spark, sf):
     """The timers that fired."""
 
     def build(events):
-        timed = pipelines.with_event_time(tables.sensor_from(events), delay="0 seconds")
-        return with_state(timed, ["id"], proc.ElementTimers(10, 100), "eventTime")
+        timed = ordered.behind_watermark(tables.sensor_from(events), "0 seconds")
+        return with_state(timed, ["id"], ordered.ElementTimersByTime(10, 100), "eventTime")
 
     fired = replayed_in_parts(spark, sf, build).filter("what = 'timer' and id <> 'sensor_-1'")
     return fired.select("id", F.col("at_ms").alias("fire_ms"))
@@ -80,11 +79,16 @@ COUNTS = "itemId bigint, window_end bigint, cnt bigint"
 
 @register("topn_list_state_timer", TOP_SQL)
 def topn_list_state_timer(spark, sf):
-    """The ranking of every window from list state, sent by a timer after the window's end."""
-    replay = Replay(spark, f"{shared_dir(spark, 'arriving')}/counts", COUNTS)
-    parts = tables.in_parts(hot_counts(spark, sf), F.col("window_end"), PARTS)
+    """The ranking of every window from list state, sent by a timer after the window's end.
+
+    Two streams: the best of every share of a window's items, and the best of these.
+    """
     last = spark.createDataFrame([(-1, 32_503_680_000_000, 1)], COUNTS)
-    out = replay.run_parts(pipelines.hot_items_by_timer, parts, last)
+    parts = tables.in_parts(hot_counts(spark, sf), F.col("window_end"), PARTS)
+    first = Replay(spark, f"{shared_dir(spark, 'arriving')}/counts", COUNTS)
+    best = first.run_parts(pipelines.hot_items_by_share, parts, last).select("itemId", "window_end", "cnt")
+    second = Replay(spark, f"{shared_dir(spark, 'arriving')}/best", COUNTS)
+    out = second.run_parts(pipelines.hot_items_by_timer, [best], last)
     return out.filter("itemId >= 0").select("window_end", "itemId", "cnt", "row_num")
 
 

@@ -146,7 +146,7 @@ def jump_stream(spark, sf):
     return arriving(spark, sf, jump_step("id", "temperature", "seq", SEQ_BLOCKS, 10.0), ["id"])
 
 
-@register("over_rows_agg_stream", OVER_SQL)
+@register("over_rows_carried_stream", OVER_SQL)
 def over_rows_stream(spark, sf):
     out = arriving(spark, sf, over_rows_step("id", "seq", SEQ_BLOCKS, 2, "temperature"), ["id"])
     return out.select("id", "seq", (F.col("timestamp") * 1000).alias("rt_ms"), "cnt",

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,6 +62,59 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Put a small file in place at once: readers see the old one or the new one, never a part."""
+    fs = spark._jvm.org.apache.hadoop.fs
+    target = fs.Path(path)
+    hidden = fs.Path(target.getParent(), f".{target.getName()}-{uuid.uuid4().hex}")
+    conf = spark._jsc.hadoopConfiguration()
+    store = target.getFileSystem(conf)
+    out = store.create(hidden)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    modes = spark.sparkContext._gateway.new_array(fs.Options.Rename, 1)
+    modes[0] = fs.Options.Rename.OVERWRITE
+    fs.FileContext.getFileContext(target.toUri(), conf).rename(
+        store.makeQualified(hidden), store.makeQualified(target), modes
+    )
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text, or None where there is none."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(target):
+        return None
+    stream = store.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """The names of a folder's visible files."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(target):
+        return []
+    names = [status.getPath().getName() for status in store.listStatus(target)]
+    return sorted(n for n in names if not n.startswith((".", "_")))
+
+
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for as long as the block runs; queries started in it keep it."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder that is no longer read, on whatever storage it lies."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -7,71 +7,86 @@ a key's later rows need from earlier ones is carried over in a table of a few va
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rillstone.operators import alerts, late, rolling
 from rillstone.operators.blocks import Blocks, Running, preceding_state, running, running_state
 from rillstone.operators.changelog import averages, avg_count_measures, changes_of
-from rillstone.session import remove, shared_dir, stored
+from rillstone.session import read_text, remove, shared_dir, stored, write_text
 from rillstone.sinks.writers import table_batch
 
 # (rows of the batch, what is carried in or None) -> (results, what is carried on)
 Step = Callable[[DataFrame, DataFrame | None], tuple[DataFrame, DataFrame]]
 
 
-BUCKETS = 64
-
-
 class Carry:
-    """The carried table, in buckets of the keys; a batch rewrites only the buckets it touches.
-
-    `log/batch=n` lists, for every bucket, the batch that wrote its rows; the rows lie under
-    `rows/batch=n`. A batch reads the list of its predecessor, so one that is replayed after
-    a failure finds its input unchanged. Rows that no list refers to any more are removed.
+    """What is carried per key, as a log of runs: a batch writes the state of the keys it touches, and nothing else.
+
+    A run is the table of one batch's state rows, each with its batch's number. A key's state is its rows
+    of the latest batch that touched it. Before a run is added, the runs behind it that are not
+    larger than about twice what follows them are merged into it, keeping only the latest state of each key; so
+    there are as many runs as the logarithm of the keys, and rows are rewritten that often. `log/n` lists
+    the runs after batch n. A batch reads the list of its predecessor, so one that is replayed
+    finds its input unchanged; runs that the last two lists don't name are removed.
     """
 
-    def __init__(self, home: str, keys: Sequence[str], buckets: int = BUCKETS):
-        self.home, self.keys, self.buckets = home, list(keys), buckets
+    def __init__(self, home: str, keys: Sequence[str]):
+        self.home, self.keys = home, list(keys)
 
-    def bucket(self) -> Column:
-        number = F.pmod(F.hash(*self.keys), F.lit(self.buckets)) if self.keys else F.lit(0)
-        return number.cast("int").alias("__bucket")
+    def runs(self, spark: SparkSession, batch_id: int) -> list[dict]:
+        """Name and number of rows of every run after a batch, oldest first."""
+        text = read_text(spark, f"{self.home}/log/{batch_id}") if batch_id >= 0 else None
+        return json.loads(text) if text else []
 
-    def written(self, spark: SparkSession, batch_id: int) -> dict[int, int]:
-        """Bucket to the batch that wrote it, after `batch_id`: at most `buckets` entries."""
-        if batch_id < 0:
-            return {}
-        return {r["bucket"]: r["batch"] for r in spark.read.json(f"{self.home}/log/batch={batch_id}", LOG).collect()}
+    def read(self, spark: SparkSession, runs: list[dict]) -> DataFrame:
+        return spark.read.parquet(*[f"{self.home}/runs/{run['name']}" for run in runs])
 
-    def before(self, batch: DataFrame, batch_id: int) -> tuple[DataFrame | None, dict[int, int]]:
-        """The carried rows of the buckets that the batch touches."""
-        spark = batch.sparkSession
-        known = self.written(spark, batch_id - 1)
-        touched = [r[0] for r in batch.select(self.bucket()).distinct().collect()]
-        paths = [f"{self.home}/rows/batch={known[b]}/__bucket={b}" for b in touched if b in known]
-        return (spark.read.parquet(*paths) if paths else None), known
+    def latest(self, rows: DataFrame) -> DataFrame:
+        """The rows that each key's latest batch wrote."""
+        newest = F.max("__batch").over(Window.partitionBy(*self.keys))
+        return rows.withColumn("__newest", newest).filter("__batch = __newest").drop("__newest")
 
-    def write(self, carry: DataFrame, batch_id: int, known: dict[int, int]) -> None:
+    def before(self, batch: DataFrame, batch_id: int) -> tuple[DataFrame | None, list[dict]]:
+        """The state of the keys that the batch touches."""
+        spark = batch.sparkSession
+        runs = self.runs(spark, batch_id - 1)
+        if not runs:
+            return None, runs
+        rows = self.read(spark, runs)
+        if self.keys:
+            touched = batch.select(*[F.col(k).alias(f"__touched_{k}") for k in self.keys]).distinct()
+            same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__touched_{k}")) for k in self.keys])
+            rows = rows.join(touched, same, "left_semi")
+        return self.latest(rows).drop("__batch"), runs
+
+    def write(self, carry: DataFrame, batch_id: int, runs: list[dict]) -> None:
         spark = carry.sparkSession
-        path = f"{self.home}/rows/batch={batch_id}"
-        carry.withColumn("__bucket", self.bucket()).write.mode("overwrite").partitionBy("__bucket").parquet(path)
-        fresh = spark.read.schema(f"{PLAIN}, __bucket int").parquet(path)
-        now = {r[0]: batch_id for r in fresh.select("__bucket").distinct().collect()}
-        entries = [(b, n) for b, n in (known | now).items()]
-        log = f"{self.home}/log/batch={batch_id}"
-        spark.createDataFrame(entries, LOG).coalesce(1).write.mode("overwrite").json(log)
-        # what the list before this one still needs stays until the next batch
-        for b, n in self.written(spark, batch_id - 2).items():
-            if known.get(b) != n:
-                remove(spark, f"{self.home}/rows/batch={n}/__bucket={b}")
-
-
-LOG = "bucket int, batch bigint"
-PLAIN = "__none int"  # only the folders' names are asked for
+        fresh = self.add(carry.withColumn("__batch", F.lit(batch_id).cast("long")), f"batch-{batch_id}")
+        merge, total = len(runs), fresh["rows"]
+        while merge and runs[merge - 1]["rows"] <= 2 * total:
+            merge -= 1
+            total += runs[merge]["rows"]
+        now = [*runs, fresh]
+        if merge < len(runs):
+            now = [*runs[:merge], self.add(self.latest(self.read(spark, now[merge:])), f"merged-{batch_id}")]
+        write_text(spark, f"{self.home}/log/{batch_id}", json.dumps(now))
+        kept = {run["name"] for run in [*now, *runs]}
+        for run in self.runs(spark, batch_id - 2):
+            if run["name"] not in kept:
+                remove(spark, f"{self.home}/runs/{run['name']}")
+        if fresh["name"] not in {run["name"] for run in now}:
+            remove(spark, f"{self.home}/runs/{fresh['name']}")
+
+    def add(self, rows: DataFrame, name: str) -> dict:
+        path = f"{self.home}/runs/{name}"
+        rows.write.mode("overwrite").parquet(path)
+        return {"name": name, "rows": rows.sparkSession.read.schema("__none int").parquet(path).count()}
 
 
 def run_carried(
@@ -144,9 +159,9 @@ def changelog_step(key: str, value: str, order: str, blocks: Blocks) -> Step:
         past = None if before is None else before.select(key, *sums)
         last = None if before is None else before.select(key, order, *sent)
         results = stored(averages(batch, key, value, order, blocks, past), "changelog")
-        carry = running_state(batch, [key], avg_count_measures(value), past).join(
-            preceding_state(results, [key], [order], 1, list(sent), last), key
-        )
+        ended = preceding_state(results, [key], [order], 1, list(sent), last).withColumnRenamed(key, "__key")
+        carry = running_state(batch, [key], avg_count_measures(value), past)
+        carry = carry.join(ended, F.col(key).eqNullSafe(F.col("__key"))).drop("__key")  # null is a key like any other
         return changes_of(results, key, order, blocks, last), carry
 
     return step

@@ -277,7 +277,8 @@ class RisingAlert(StatefulProcessor):
 class TopNPerWindow(StatefulProcessor):
     """The n most counted items of a window, sent when its timer fires one ms after its end.
 
-    Only the n best so far are held, and the window's state is cleared once it is sent.
+    Only the n best so far are held, and the window's state is cleared once it is sent. The key's first part is
+    the window's end; a second one may deal a window's items to several tasks, whose best are ranked again.
     """
 
     output = "window_end bigint, itemId bigint, cnt bigint, row_num int"

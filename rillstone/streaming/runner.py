@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StatefulProcessor
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
-from rillstone.session import ROCKSDB_PROVIDER, shared_dir
+from rillstone.session import ROCKSDB_PROVIDER, setting, shared_dir
 from rillstone.sinks.writers import BatchWriter, each_batch, read_batches, table_batch
 
+IDLE_KEY = "spark.sql.streaming.noDataMicroBatches.enabled"
 PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
 
 
@@ -40,16 +41,40 @@ def with_state(
     )
 
 
-def run_batches(
+def start_batches(
     df: DataFrame, write: BatchWriter, checkpoint: str, mode: str = "append",
     transform: Callable[[DataFrame], DataFrame] | None = None,
+    trigger: Mapping[str, str | bool] | None = None, idle_batches: bool = True,
+) -> StreamingQuery:
+    """Start a query without waiting for it; `trigger` as in Spark, e.g. {"processingTime": "10 seconds"}.
+
+    `idle_batches` lets batches without input run, which event-time timers and windows need to close.
+    """
+    use_rocksdb(df.sparkSession)
+    writer = each_batch(df, write, transform).outputMode(mode).option("checkpointLocation", checkpoint)
+    with setting(df.sparkSession, IDLE_KEY, str(idle_batches).lower()):
+        return (writer.trigger(**trigger) if trigger else writer).start()
+
+
+def run_batches(
+    df: DataFrame, write: BatchWriter, checkpoint: str, mode: str = "append",
+    transform: Callable[[DataFrame], DataFrame] | None = None, idle_batches: bool = True,
 ) -> None:
     """Process all input there is, then stop. Called again with the same checkpoint, only
     what is new; a batch that had failed is written again over its own output."""
-    use_rocksdb(df.sparkSession)
-    writer = each_batch(df, write, transform).outputMode(mode)
-    query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
+    start_batches(df, write, checkpoint, mode, transform, {"availableNow": True}, idle_batches).awaitTermination()
+
+
+def run_at_intervals(
+    df: DataFrame, write: BatchWriter, checkpoint: str, interval: str, mode: str = "append",
+    transform: Callable[[DataFrame], DataFrame] | None = None,
+) -> None:
+    """Run with a trigger interval until all input there is has been processed, then stop the query."""
+    query = start_batches(df, write, checkpoint, mode, transform, {"processingTime": interval})
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
 
 
 def run_to_table(
@@ -85,9 +110,12 @@ class Replay:
     """
 
     def __init__(
-        self, spark: SparkSession, path: str, schema: str, limits: Mapping[str, str] | None = None
+        self, spark: SparkSession, path: str, schema: str, limits: Mapping[str, str] | None = None,
+        idle_batches: bool = True,
     ):
+        """Processing-time timers need `idle_batches` off: with them on, a query that has one never comes to its end."""
         self.spark, self.path, self.schema, self.limits = spark, path, schema, limits
+        self.idle_batches = idle_batches
         self.home = shared_dir(spark, "replay")
         self.end_dir = f"{self.home}/end"
         # An empty table, so that the second source has a folder to look into.
@@ -120,5 +148,8 @@ class Replay:
 
     def _step(self, build, transform) -> DataFrame:
         df = build(self.rows())
-        run_batches(df, table_batch(f"{self.home}/out"), f"{self.home}/checkpoint", transform=transform)
+        run_batches(
+            df, table_batch(f"{self.home}/out"), f"{self.home}/checkpoint", transform=transform,
+            idle_batches=self.idle_batches,
+        )
         return df
