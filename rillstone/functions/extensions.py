@@ -6,6 +6,7 @@ behind the same names for both DataFrame and SQL use; the Python ones move Arrow
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -158,6 +159,55 @@ def register_aggregate(spark: SparkSession, name: str, agg: Accumulator) -> None
     spark.udf.register(name, pandas_udf(fold, agg.returns, PandasUDFType.GROUPED_AGG))
 
 
+# Rows and partial results that one call of a two-level aggregate gets at most, for each key.
+PART_ROWS = 100_000
+
+
+def register_two_level(spark: SparkSession, name: str, agg: Accumulator) -> None:
+    """A user aggregate as two functions callable by name in SQL, for groups of any size.
+
+    `<name>_part(value)` folds some of a group's rows into a binary partial result,
+    `<name>_more(partial)` merges partial results into one, and `<name>(partial)` gives the value. `parted`
+    tells the parts that rows belong to. In a column of doubles a NaN reads as null.
+    """
+
+    def part(values: pd.Series):
+        acc = agg.create()
+        for v in values:
+            acc = agg.add(acc, None if v is None or v != v else v)
+        return pickle.dumps(acc)
+
+    def merged(partials: pd.Series) -> tuple:
+        acc = agg.create()
+        for p in partials:
+            acc = agg.merge(acc, pickle.loads(p))
+        return acc
+
+    def more(partials: pd.Series):
+        return pickle.dumps(merged(partials))
+
+    def result(partials: pd.Series):
+        return agg.result(merged(partials))
+
+    for suffix, fn, returns in (("_part", part, "binary"), ("_more", more, "binary"), ("", result, agg.returns)):
+        spark.udf.register(name + suffix, pandas_udf(fn, returns, PandasUDFType.GROUPED_AGG))
+
+
+def parted(df: DataFrame, rows: int = PART_ROWS) -> DataFrame:
+    """The rows with the number of their part (`part`): at most `rows` consecutive rows of a task."""
+    return df.withColumn("part", F.expr(f"monotonically_increasing_id() div {rows}"))
+
+
+def two_level_sql(name: str, key: str, value: str, view: str, out: str, rows: int = PART_ROWS) -> str:
+    """The SQL of a two-level aggregate over a view made by `parted`: parts, groups of parts, keys."""
+    return (
+        f"select `{key}`, {name}(p) as `{out}` from ("
+        f"select `{key}`, {name}_more(p) as p from ("
+        f"select `{key}`, part, {name}_part(`{value}`) as p from {view} group by `{key}`, part"
+        f") group by `{key}`, part div {rows}) group by `{key}`"
+    )
+
+
 class TableAccumulator(Accumulator):
     """A user aggregate whose result is several rows: `returns` is their DDL schema.
 

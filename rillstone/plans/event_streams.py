@@ -9,14 +9,22 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rillstone.plans.catalog import SENSOR, register, rounded, rounded_sql, with_
-from rillstone.plans.event_windows import OVER_SQL
-from rillstone.plans.stream_jobs import end_row
+from rillstone.functions.strings import java_hash
+from rillstone.operators import alerts, changelog, late, topn, words
+from rillstone.plans.catalog import CATALOG, SENSOR, register, rounded, rounded_sql, with_
+from rillstone.plans.event_windows import OVER_SQL, tumble_sql
+from rillstone.plans.stateful import JUMP_SQL
+from rillstone.plans.stream_jobs import end_row, replayed_in_parts
+from rillstone.plans.streams import arriving, sensor_stream
 from rillstone.schemas import EVENTS
 from rillstone.session import shared_dir
+from rillstone.sinks.writers import manifest_batch, read_manifest
 from rillstone.sources import tables
-from rillstone.streaming import ordered
-from rillstone.streaming.runner import Replay, with_state
+from rillstone.sources.tables import SEQ_BLOCKS
+from rillstone.streaming import ordered, pipelines
+from rillstone.streaming.carried import Carry, changelog_step, jump_step, resharded, run_carried, running_step, top_step
+from rillstone.streaming.runner import Replay, run_at_intervals, run_batches, with_state
+from rillstone.operators.blocks import running_count
 
 PARTS = 4
 NONE_LATE_MS = 61_000_000
@@ -133,3 +141,187 @@ def tumble_proc_min_by_stream(spark, sf):
     both = least.join(sent, ["id", "window_end"], "left").select("id", "window_end", F.col("want").eqNullSafe(F.col("got")).alias("same"))
     inside = F.col("stamp_ms").between(F.col("window_end") - 10, F.col("window_end") - 1)
     return rows.join(both, ["id", "window_end"]).select("id", "seq", "temperature", (F.col("same") & inside).alias("least_of_window"))
+
+
+# Rows with the part of the table they arrive in, when it arrives by event_id in three parts.
+IN_PARTS = """, parted as (
+  select *, (seq - min(seq) over ()) // ((max(seq) over () - min(seq) over ()) // 3 + 1) as part from sensor)"""
+
+
+@register(
+    "process_context",
+    with_(SENSOR) + IN_PARTS + """, marks as (
+      select part, max(max("timestamp" * 1000)) over (order by part) as watermark from parted group by part)
+    select id, seq, "timestamp" * 1000 as at_ms, length(id)::int as len, 'event_time' as domain, watermark,
+      true as has_clock from parted join marks using (part)""",
+)
+def process_context(spark, sf):
+    """What a processor knows of a row: key, element time, time domain, watermark and processing time."""
+
+    def build(events):
+        timed = ordered.behind_watermark(tables.sensor_from(events), "0 seconds")
+        return with_state(timed, ["id"], ordered.ElementTimersByTime(10, 100), "eventTime")
+
+    rows = replayed_in_parts(spark, sf, build).filter("what = 'row' and id <> 'sensor_-1'")
+    return rows.select("id", "seq", "at_ms", "len", "domain", "watermark", (F.col("processing_ms") > 0).alias("has_clock"))
+
+
+READINGS_SQL = with_(SENSOR) + "select id, seq, temperature from sensor"
+
+
+def event_parts(spark, sf, parts=3):
+    return tables.in_parts(tables.table(spark, sf, "events"), F.col("event_id"), parts)
+
+
+@register("checkpointed_run", READINGS_SQL)
+def checkpointed_run(spark, sf):
+    """A run that is stopped between writing a batch and committing it, and started again from its checkpoint."""
+    home = shared_dir(spark, "manifest")
+    commit = manifest_batch(f"{home}/out")
+    stopped = []
+
+    def stops_once(batch, batch_id):
+        if batch_id == 1 and not stopped:
+            stopped.append(batch_id)
+            batch.write.parquet(f"{home}/out/data/left-behind")
+            raise RuntimeError("stopped before the commit")
+        commit(batch, batch_id)
+
+    for number, part in enumerate(event_parts(spark, sf)):
+        part.write.mode("append").parquet(f"{home}/events")
+        rows = sensor_stream(spark, f"{home}/events").select("id", "seq", "temperature")
+        try:
+            run_batches(rows, stops_once, f"{home}/checkpoint")
+        except Exception:
+            if not stopped or number != 1:
+                raise
+            run_batches(rows, stops_once, f"{home}/checkpoint")
+    return read_manifest(spark, f"{home}/out", "id string, seq bigint, temperature double").drop("batch_id")
+
+
+@register("trigger_interval", READINGS_SQL)
+def trigger_interval(spark, sf):
+    """Batches started by an interval, one file each, until all files are done."""
+    home = shared_dir(spark, "interval")
+    for part in event_parts(spark, sf):
+        part.write.mode("append").parquet(f"{home}/events")
+    stream = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(f"{home}/events")
+    rows = tables.sensor_from(stream).select("id", "seq", "temperature")
+    run_at_intervals(rows, manifest_batch(f"{home}/out"), f"{home}/checkpoint", "100 milliseconds")
+    return read_manifest(spark, f"{home}/out", "id string, seq bigint, temperature double").drop("batch_id")
+
+
+@register("end_of_stream_flush", tumble_sql(3600))
+def end_of_stream_flush(spark, sf):
+    """Windows that are still open when the input ends are closed by the end row."""
+    out = replayed_in_parts(spark, sf, lambda rows: pipelines.tumbling_avg(tables.sensor_from(rows), 3_600_000))
+    return out.filter("id <> 'sensor_-1'").withColumn("avg_temp", rounded("avg_temp"))
+
+
+@register(
+    "subtask_counter_rescaled",
+    with_(SENSOR) + IN_PARTS + """, base as (
+      select shard % 3 as shard, sum(n) as n from (
+        select seq % 4 as shard, count(*) as n from parted where part < 2 group by 1) group by 1)
+    select (seq % 4)::int as shard, seq, row_number() over (partition by seq % 4 order by seq) - 1 as n
+    from parted where part < 2
+    union all
+    select (seq % 3)::int, seq, (coalesce(b.n, 0) + row_number() over (partition by seq % 3 order by seq) - 1)::bigint
+    from parted p left join base b on b.shard = p.seq % 3 where part >= 2""",
+)
+def subtask_counter_rescaled(spark, sf):
+    """Counters per instance that are restored on fewer instances: four, and three for the last part."""
+    home = shared_dir(spark, "rescaled")
+    step = running_step(["shard"], ["seq"], SEQ_BLOCKS, lambda: {"n": running_count()})
+    for number, part in enumerate(event_parts(spark, sf)):
+        part.write.mode("append").parquet(f"{home}/events")
+        shards = 4 if number < 2 else 3
+        if number == 2:
+            Carry(f"{home}/run/carry", ["shard"]).restate(spark, lambda state: resharded(state, "shard", 3))
+        rows = sensor_stream(spark, f"{home}/events").select((F.col("seq") % shards).cast("int").alias("shard"), "seq")
+        out = run_carried(rows, step, f"{home}/run", ["shard"])
+    return out.withColumn("n", F.col("n") - 1)
+
+
+@register("job_sensor_windows_stream", CATALOG["job_sensor_windows"].oracle)
+def job_sensor_windows_stream(spark, sf):
+    """Tumbling averages and event-time frames of readings as they arrive."""
+    tumble = replayed_in_parts(spark, sf, lambda rows: pipelines.tumbling_avg(tables.sensor_from(rows), 10_000))
+    tumble = tumble.filter("id <> 'sensor_-1'").select(
+        F.lit("tumble").alias("part"), "id", F.col("window_end").alias("at_ms"), "cnt", rounded("avg_temp").alias("avg_temp")
+    )
+    over = arriving_late(spark, sf, over_by_time(NONE_LATE_MS)).filter("not late")
+    return tumble.unionByName(
+        over.select(F.lit("over").alias("part"), "id", F.col("rt_ms").alias("at_ms"), "cnt", rounded("avg_temp").alias("avg_temp"))
+    )
+
+
+def without_end(out):
+    return out.filter("id <> 'sensor_-1'")
+
+
+@register("job_sensor_functions_stream", CATALOG["job_sensor_functions"].oracle)
+def job_sensor_functions_stream(spark, sf):
+    """Hashes and words of every row, and each sensor's average and two highest values as its rows arrive."""
+
+    def rows(df, part, word, value):
+        return df.select(F.lit(part).alias("part"), "id", word.alias("word"), value.cast("double").alias("val"))
+
+    def each(events):
+        readings = tables.sensor_from(events)
+        hashes = rows(readings, "hash", F.lit(""), java_hash(F.col("id")))
+        return hashes.unionByName(rows(words.lateral_split(readings, "id", "_", ["id"]), "words", F.col("word"), F.col("length")))
+
+    changes = arriving(spark, sf, changelog_step("id", "temperature", "seq", SEQ_BLOCKS), ["id"])
+    averages = changelog.fold_changelog(changes, "id", "seq")
+    order = [F.desc("temperature"), F.asc("seq")]
+    sent = arriving(spark, sf, top_step("id", order, ["temperature", "seq"], 2, "temp_rank"), ["id"])
+    # a row sent again is the same row; the last state of a key is the first rows of all that were sent
+    top = topn.top_n(sent.select("id", "temperature", "seq").distinct(), ["id"], order, 2, "temp_rank")
+    return (
+        without_end(replayed_in_parts(spark, sf, each))
+        .unionByName(rows(averages, "avg", F.lit(""), rounded("avg_temp")))
+        .unionByName(rows(top, "top", F.col("temp_rank").cast("string"), F.col("temperature")))
+    )
+
+
+ALERT_ROWS_SQL = f"""
+select 'jump' as part, id, seq as at, last_temp as a, cur_temp as b from ({JUMP_SQL})
+union all select 'rising', id, start, fire::double, 0 from ({CATALOG["rising_temp_alert_repeated"].oracle})
+union all select case when temperature > 30 then 'high' else 'low' end, id, seq, temperature, 0
+  from ({with_(SENSOR)} select id, seq, temperature from sensor)"""
+
+
+def alert_rows(jump, rising, routes):
+    none = F.lit(0.0)
+    return (
+        jump.select(F.lit("jump").alias("part"), "id", F.col("seq").alias("at"), F.col("last_temp").alias("a"), F.col("cur_temp").alias("b"))
+        .unionByName(rising.select(F.lit("rising").alias("part"), "id", F.col("start").alias("at"), F.col("fire").cast("double").alias("a"), none.alias("b")))
+        .unionByName(routes.select(F.col("route").alias("part"), "id", F.col("seq").alias("at"), F.col("temperature").alias("a"), none.alias("b")))
+    )
+
+
+@register("job_sensor_alerts_rows", ALERT_ROWS_SQL)
+def job_sensor_alerts_rows(spark, sf):
+    """Every alert and every routed row of the alerts job."""
+    readings = tables.sensor(spark, sf)
+    jump = alerts.temp_jump_alert(readings, "id", "temperature", "seq", SEQ_BLOCKS, 10.0)
+    rising = alerts.rising_alerts(readings, "id", "temperature", "timestamp", "seq", SEQ_BLOCKS, 18_000)
+    return alert_rows(jump, rising, late.side_output_split(readings, "temperature", 30.0))
+
+
+@register("job_sensor_alerts_stream", ALERT_ROWS_SQL)
+def job_sensor_alerts_stream(spark, sf):
+    """The same from streams: carried state, timers, and routes of each row."""
+
+    def rising(events):
+        timed = ordered.behind_watermark(tables.sensor_from(events), "0 seconds")
+        return with_state(timed, ["id"], ordered.RisingAlertByTime(18_000), "eventTime")
+
+    def routes(events):
+        return late.side_output_split(tables.sensor_from(events).select("id", "seq", "temperature"), "temperature", 30.0)
+
+    jump = arriving(spark, sf, jump_step("id", "temperature", "seq", SEQ_BLOCKS, 10.0), ["id"])
+    return alert_rows(
+        jump, without_end(replayed_in_parts(spark, sf, rising)), without_end(replayed_in_parts(spark, sf, routes))
+    )

@@ -22,7 +22,7 @@ from rillstone.sources import connectors, tables, text
 from rillstone.sources.tables import SEQ_BLOCKS
 from rillstone.session import shared_dir
 from rillstone.sinks.writers import BatchWriter, read_batches, table_batch
-from rillstone.streaming.runner import open_replay, run_batches, run_to_table
+from rillstone.streaming.runner import open_replay, run_batches
 
 
 def word_count_job(lines: DataFrame) -> DataFrame:
@@ -232,9 +232,17 @@ def job_hot_items(spark, sf):
 )
 def job_mail_ingest(spark, sf):
     """A stream of JSON records into a table, one idempotent write per batch."""
-    customers = open_replay(spark, tables.replay_path(sf, "customer"), CUSTOMER)
-    mail = text.json_to_mail(tables.mail_json_from(customers))
-    return run_to_table(rename_for_sink(mail)).drop("batch_id")
+    home = shared_dir(spark, "mail")
+    for part in tables.in_parts(tables.table(spark, sf, "customer"), F.col("c_custkey"), MAIL_PARTS):
+        part.write.mode("append").parquet(f"{home}/customer")
+        mail = text.json_to_mail(tables.mail_json_from(open_replay(spark, f"{home}/customer", CUSTOMER)))
+        run_batches(rename_for_sink(mail), table_batch(f"{home}/out"), f"{home}/checkpoint")
+    return read_batches(spark, f"{home}/out", MAIL_COLUMNS).drop("batch_id")
+
+
+# The customers arrive in so many micro-batches.
+MAIL_PARTS = 3
+MAIL_COLUMNS = "app_key string, app_version string, device_id string, phone_no string"
 
 
 def mail_quarantine_batch(good: BatchWriter, bad: BatchWriter) -> BatchWriter:
@@ -257,13 +265,15 @@ def mail_quarantine_batch(good: BatchWriter, bad: BatchWriter) -> BatchWriter:
 )
 def job_mail_quarantine(spark, sf):
     """The ingest job with every seventh record malformed."""
-    customers = open_replay(spark, tables.replay_path(sf, "customer"), CUSTOMER)
-    sound = tables.mail_json_from(customers.where("c_custkey % 7 <> 0"))
-    broken = customers.where("c_custkey % 7 = 0").select(F.concat(F.lit("{bad "), "c_custkey").alias("value"))
     home = shared_dir(spark, "mail")
     write = mail_quarantine_batch(table_batch(f"{home}/good"), table_batch(f"{home}/bad"))
-    run_batches(sound.unionByName(broken), write, f"{home}/checkpoint")
-    good = read_batches(spark, f"{home}/good", "app_key string, app_version string, device_id string, phone_no string")
+    for part in tables.in_parts(tables.table(spark, sf, "customer"), F.col("c_custkey"), MAIL_PARTS):
+        part.write.mode("append").parquet(f"{home}/customer")
+        customers = open_replay(spark, f"{home}/customer", CUSTOMER)
+        sound = tables.mail_json_from(customers.where("c_custkey % 7 <> 0"))
+        broken = customers.where("c_custkey % 7 = 0").select(F.concat(F.lit("{bad "), "c_custkey").alias("value"))
+        run_batches(sound.unionByName(broken), write, f"{home}/checkpoint")
+    good = read_batches(spark, f"{home}/good", MAIL_COLUMNS)
     bad = read_batches(spark, f"{home}/bad", "line string")
     none = F.lit(None).cast("string")
     return good.select(F.lit("good").alias("part"), "phone_no", none.alias("line")).unionByName(

@@ -9,7 +9,7 @@ from rillstone.functions.extensions import register_sql_scalar, register_table_f
 from rillstone.functions.strings import java_hash
 from rillstone.operators.words import lateral_split
 from rillstone.plans.aggregates import AverageParts
-from rillstone.plans.catalog import SENSOR, register, rounded_sql, with_
+from rillstone.plans.catalog import SENSOR, register, rounded, rounded_sql, with_
 from rillstone.sources import tables
 
 HASHED = with_(SENSOR) + """, h as (
@@ -107,10 +107,11 @@ def lateral_left(spark, sf):
     with_(SENSOR) + f"select id, {rounded_sql('avg(temperature)')} as avg_temp from sensor group by id",
 )
 def udaf_surface(spark, sf):
-    """A user aggregate, called by its name in SQL."""
-    extensions.register_aggregate(spark, "user_avg", AverageParts())
-    tables.sensor(spark, sf).createOrReplaceTempView("sensor_udaf")
-    return spark.sql("select id, round(user_avg(temperature) + 1e-9D, 6) as avg_temp from sensor_udaf group by id")
+    """A user aggregate, called by its name in SQL, whose groups are folded in parts and merged."""
+    extensions.register_two_level(spark, "user_avg", AverageParts())
+    extensions.parted(tables.sensor(spark, sf)).createOrReplaceTempView("sensor_udaf")
+    out = spark.sql(extensions.two_level_sql("user_avg", "id", "temperature", "sensor_udaf", "avg_temp"))
+    return out.select("id", rounded("avg_temp").alias("avg_temp"))
 
 
 class TopTwo(extensions.TableAccumulator):

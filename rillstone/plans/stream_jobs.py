@@ -19,7 +19,8 @@ from rillstone.sources import tables, text
 from rillstone.sources.tables import SEQ_BLOCKS
 from rillstone.streaming import ordered, pipelines
 from rillstone.streaming.carried import changelog_step, late_step
-from rillstone.streaming.runner import Replay, open_replay, run_to_table, with_state
+from rillstone.sinks.writers import table_batch
+from rillstone.streaming.runner import Replay, open_replay, run_batches, with_state
 
 
 def end_row(spark):
@@ -36,6 +37,16 @@ def replayed_in_parts(spark, sf, build, transform=None):
     return replay.run_parts(build, parts, end_row(spark), transform).drop("batch_id")
 
 
+def in_batches(spark, sf, build):
+    """A stream without state over the events as they arrive, one micro-batch for each part."""
+    home = shared_dir(spark, "arriving")
+    for part in tables.in_parts(tables.table(spark, sf, "events"), F.col("event_id"), PARTS):
+        part.write.mode("append").parquet(f"{home}/events")
+        rows = build(open_replay(spark, f"{home}/events", EVENTS))
+        run_batches(rows, table_batch(f"{home}/out"), f"{home}/checkpoint")
+    return spark.read.parquet(f"{home}/out").drop("batch_id")
+
+
 @register("job_hot_items_stream", CATALOG["job_hot_items"].oracle)
 def job_hot_items_stream(spark, sf):
     """Click-stream lines to one ranking text per window, sent when the window closes."""
@@ -95,9 +106,7 @@ def topn_list_state_timer(spark, sf):
 @register("job_sensor_table_stream", CATALOG["job_sensor_table"].oracle)
 def job_sensor_table_stream(spark, sf):
     """One sensor's readings, and the averages that the stream of changes of all others leads to."""
-    one = run_to_table(
-        tables.sensor_from(open_replay(spark, tables.replay_path(sf, "events"), EVENTS)).where("id = 'sensor_1'")
-    )
+    one = in_batches(spark, sf, lambda events: tables.sensor_from(events).where("id = 'sensor_1'"))
     changes = arriving(
         spark, sf, changelog_step("id", "temperature", "seq", SEQ_BLOCKS), ["id"],
         lambda rows: rows.where("id <> 'sensor_1'"),
@@ -122,6 +131,8 @@ def job_sensor_late_stream(spark, sf):
 
 @register("job_kafka_csv_route_stream", CATALOG["job_kafka_csv_route"].oracle)
 def job_kafka_csv_route_stream(spark, sf):
-    rows = tables.sensor_from(open_replay(spark, tables.replay_path(sf, "events"), EVENTS))
-    line = F.concat_ws(",", "id", F.col("timestamp").cast("string"), F.col("temperature").cast("string"))
-    return run_to_table(csv_route_job(rows.select(line.alias("value")), "sensor_1")).drop("batch_id")
+    def build(events):
+        line = F.concat_ws(",", "id", F.col("timestamp").cast("string"), F.col("temperature").cast("string"))
+        return csv_route_job(tables.sensor_from(events).select(line.alias("value")), "sensor_1")
+
+    return in_batches(spark, sf, build)

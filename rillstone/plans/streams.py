@@ -21,7 +21,7 @@ from rillstone.plans.scans import CHANGELOG_SQL
 from rillstone.plans.stateful import CLASSES, JUMP_SQL, SHARDS, STATE_KINDS_SQL, SUBTASK_SQL
 from rillstone.schemas import DOCUMENTS, EVENTS
 from rillstone.session import shared_dir, stored
-from rillstone.sinks.writers import latest
+from rillstone.sinks.writers import latest, read_batches, table_batch
 from rillstone.sources import tables
 from rillstone.sources.tables import SEQ_BLOCKS
 from rillstone.streaming import pipelines
@@ -33,7 +33,7 @@ from rillstone.streaming.carried import (
     run_carried,
     running_step,
 )
-from rillstone.streaming.runner import Replay, open_replay, run_to_table
+from rillstone.streaming.runner import Replay, open_replay, run_batches
 
 # The end row: a moment after any data, with values that no window result may keep.
 END_EVENT = "select -1L, timestamp_ntz'2999-01-01 00:00:00', -1L, 'end', 0D, '{}'"
@@ -62,19 +62,31 @@ def arriving(spark, sf, step, keys, rows=lambda df: df, order=None):
 
 @register("stream_word_count", with_(WORDS) + "select word, count(*) as cnt from words group by word")
 def stream_word_count(spark, sf):
-    docs = open_replay(spark, tables.replay_path(sf, "documents"), DOCUMENTS)
-    return latest(run_to_table(pipelines.word_counts(docs), "update"), ["word"])
+    home = shared_dir(spark, "arriving")
+    for part in tables.in_parts(tables.table(spark, sf, "documents"), F.col("doc_id"), PARTS):
+        part.write.mode("append").parquet(f"{home}/documents")
+        counts = pipelines.word_counts(open_replay(spark, f"{home}/documents", DOCUMENTS))
+        run_batches(counts, table_batch(f"{home}/out"), f"{home}/checkpoint", "update")
+    return latest(read_batches(spark, f"{home}/out", "word string, cnt bigint"), ["word"])
 
 
 def replayed(spark, sf, build, transform=None):
+    """The whole table as one micro-batch: for entries whose other form runs over several."""
     replay = Replay(spark, tables.replay_path(sf, "events"), EVENTS)
     return replay.run(build, end_row(spark), transform).drop("batch_id")
 
 
+def replayed_parts(spark, sf, build):
+    """The table as it arrives, in several micro-batches."""
+    replay = Replay(spark, f"{shared_dir(spark, 'arriving')}/events", EVENTS)
+    parts = tables.in_parts(tables.table(spark, sf, "events"), F.col("event_id"), PARTS)
+    return replay.run_parts(build, parts, end_row(spark)).drop("batch_id")
+
+
 @register("assign_watermark", tumble_sql(3600))
 def assign_watermark(spark, sf):
     """Tumbling averages of the stream; the end row's sensor is dropped from the results."""
-    out = replayed(spark, sf, lambda rows: pipelines.tumbling_avg(tables.sensor_from(rows), 3_600_000))
+    out = replayed_parts(spark, sf, lambda rows: pipelines.tumbling_avg(tables.sensor_from(rows), 3_600_000))
     return out.filter("id <> 'sensor_-1'").withColumn("avg_temp", rounded("avg_temp"))
 
 
@@ -84,14 +96,14 @@ def min_by_stream(spark, sf):
         readings = tables.sensor_from(rows).select("id", "timestamp", "temperature", "seq")
         return pipelines.tumbling_min(readings, 15_000)
 
-    return replayed(spark, sf, build).filter("seq >= 0").select(
+    return replayed_parts(spark, sf, build).filter("seq >= 0").select(
         "id", "window_end", "timestamp", "temperature", "seq"
     )
 
 
 @register("hop_count_stream", HOP_SQL)
 def hop_count_stream(spark, sf):
-    return replayed(spark, sf, lambda rows: pipelines.hop_views(tables.user_behavior_from(rows)))
+    return replayed_parts(spark, sf, lambda rows: pipelines.hop_views(tables.user_behavior_from(rows)))
 
 
 @register("hot_items_topn_stream", TOP_SQL)

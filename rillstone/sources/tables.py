@@ -101,9 +101,13 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def in_parts(table: DataFrame, order: Column, parts: int) -> list[DataFrame]:
-    """The rows in consecutive ranges of an integer order of arrival, each to become a micro-batch."""
+    """The rows in consecutive ranges of an integer order of arrival, each to become a micro-batch.
+
+    Rows without a place in the order come first.
+    """
     numbered = table.withColumn("__at", order)
     low, high = numbered.agg(F.min("__at"), F.max("__at")).first()
+    numbered = numbered.withColumn("__at", F.coalesce("__at", F.lit(low or 0)))
     step = ((high or 0) - (low or 0)) // parts + 1
     first = low or 0
     return [

@@ -11,14 +11,14 @@ import json
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from rillstone.operators import alerts, late, rolling
+from rillstone.operators import alerts, late, rolling, topn
 from rillstone.operators.blocks import Blocks, Running, preceding_state, running, running_state
 from rillstone.operators.changelog import averages, avg_count_measures, changes_of
-from rillstone.session import read_text, remove, shared_dir, stored, write_text
+from rillstone.session import file_names, read_text, remove, shared_dir, stored, write_text
 from rillstone.sinks.writers import table_batch
 
 # (rows of the batch, what is carried in or None) -> (results, what is carried on)
@@ -83,6 +83,13 @@ class Carry:
         if fresh["name"] not in {run["name"] for run in now}:
             remove(spark, f"{self.home}/runs/{fresh['name']}")
 
+    def restate(self, spark: SparkSession, change: Callable[[DataFrame], DataFrame]) -> None:
+        """Replace all state after the last batch, while the query is stopped: e.g. when keys are dealt anew."""
+        last = max(map(int, file_names(spark, f"{self.home}/log")))
+        rows = change(self.latest(self.read(spark, self.runs(spark, last))).drop("__batch"))
+        run = self.add(rows.withColumn("__batch", F.lit(last).cast("long")), f"restated-{last}")
+        write_text(spark, f"{self.home}/log/{last}", json.dumps([run]))
+
     def add(self, rows: DataFrame, name: str) -> dict:
         path = f"{self.home}/runs/{name}"
         rows.write.mode("overwrite").parquet(path)
@@ -125,6 +132,26 @@ def start_carried(
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
+def resharded(state: DataFrame, shard: str, shards: int) -> DataFrame:
+    """Counters per shard for another number of shards: an old shard's counts go to its number modulo the new ones."""
+    counters = [c for c in state.columns if c != shard]
+    new = F.pmod(F.col(shard), F.lit(shards)).cast(state.schema[shard].dataType)
+    return state.groupBy(new.alias(shard)).agg(*[F.sum(c).alias(c) for c in counters])
+
+
+def top_step(key: str, order: Sequence[Column], columns: Sequence[str], n: int, rank: str) -> Step:
+    """The first n rows per key so far, sent again whenever a batch holds rows of the key."""
+
+    def step(batch, before):
+        rows = batch.select(key, *columns)
+        if before is not None:
+            rows = rows.unionByName(before)
+        out = stored(topn.top_n(rows, [key], order, n, rank), "top")
+        return out, out.drop(rank)
+
+    return step
+
+
 def running_step(
     keys: Sequence[str], order: Sequence[str], blocks: Blocks, measures: Callable[[], Mapping[str, Running]]
 ) -> Step:

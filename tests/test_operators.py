@@ -118,6 +118,17 @@ def test_min_by_ties_and_nulls(spark):
     assert rows(got, "window_end", "seq", "temperature") == [(110_000, 1, 3.0)]
 
 
+def test_null_readings_are_no_minimum(spark):
+    """Windows, and windows with allowed lateness, alike in batch and in SQL; a window of nulls gives its first row."""
+    df = readings(spark, None, 5.0, 7.0, None, None).withColumn("rt", F.timestamp_seconds("timestamp"))
+    df = df.withColumn("timestamp", F.when(F.col("seq") > 2, F.col("timestamp") + 10).otherwise(F.col("timestamp")))
+    df = df.withColumn("rt", F.timestamp_seconds("timestamp"))
+    want = [(110_000, 1, 5.0), (120_000, 3, None)]
+    assert rows(windows.tumble_min_by(df, "id", "rt", 10_000, "temperature", "seq"), "window_end", "seq", "temperature") == want
+    classes = late.late_classify(df, F.col("timestamp") * 1000, ["seq"], BLOCKS, 10_000, 20, 60_000)
+    assert rows(late.min_by_with_lateness(classes, "id", "temperature", "seq"), "window_end", "seq", "temperature") == want
+
+
 def test_hop_on_the_edge(spark):
     df = spark.createDataFrame([(1, 300), (1, 299)], "item bigint, sec bigint").withColumn("ts", F.timestamp_seconds("sec"))
     got = windows.hop_count(df, "item", "ts", 600_000, 300_000)

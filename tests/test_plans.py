@@ -16,7 +16,8 @@ PYTHON = {"partition_setup_map", "udtf_split_user", "reduce_function_surface", "
           "udaf_surface", "table_aggregate_surface"}
 EAGER = {k for k in QUERIES if k.endswith("_stream")} | {
     "retract_changelog", "job_sensor_table", "job_mail_quarantine", "topn_list_state_timer", "stream_word_count", "assign_watermark", "late_side_output", "job_mail_ingest",
-    "rising_temp_alert_repeated"}
+    "rising_temp_alert_repeated", "process_context", "checkpointed_run", "trigger_interval", "end_of_stream_flush",
+    "subtask_counter_rescaled", "job_sensor_alerts_rows"}
 LAZY = sorted(set(QUERIES) - EAGER)
 
 

@@ -336,22 +336,6 @@ def test_shared_dir_follows_the_session(spark):
     assert shared_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
-def test_only_touched_buckets_are_rewritten(spark, tmp_path):
-    """Keys without new rows keep the files their last batch wrote; replayed input is intact."""
-    step = running_step(["id"], ["seq"], Blocks("seq", 10), lambda: {"n": running_count()})
-    folder, home = str(tmp_path / "in"), str(tmp_path / "job")
-    seen, got = [], None
-    for batch, ids in enumerate(["abcdefgh", "a", "ab", "h"]):
-        add_file(spark.createDataFrame([(i, 100 * batch + n) for n, i in enumerate(ids)], "id string, seq bigint"), folder_of(folder), batch)
-        got = run_carried(open_replay(spark, folder, "id string, seq bigint"), step, home, ["id"])
-        log = spark.read.json(f"{home}/carry/log/batch={batch}").collect()
-        seen.append({r["bucket"]: r["batch"] for r in log})
-    assert {r["id"]: r["n"] for r in got.groupBy("id").agg(F.max("n").alias("n")).collect()} == {
-        "a": 3, "b": 2, "c": 1, "d": 1, "e": 1, "f": 1, "g": 1, "h": 2}
-    assert len(seen[0]) > 4 and [sorted(s.values()).count(n) for n, s in enumerate(seen)][1:] == [1, 2, 1]
-    assert all(seen[3][b] == 0 for b in seen[0] if seen[1][b] == seen[2][b] == seen[3][b])
-
-
 def folder_of(path):
     os.makedirs(path, exist_ok=True)
     return path
