@@ -8,7 +8,8 @@ a passage has the same pieces at any place in a long sentence. What is lost of i
 the piece at each end that it shares with the text around it, and a few words more. Pieces so
 short that runs would have fewer than `min_words` words (lists, verse) are joined, again where the
 content says so, as shorter phrases recur by chance; only at the ends of a text, or beside a short
-sentence between longer ones, may a shorter run be left out. Letter case and white space don't
+sentence between longer ones, may a shorter run be left out. For the same reason a stretch of repeated sentences
+with fewer than `STRETCH` words stays. Letter case and white space don't
 matter to a comparison.
 
 Each document posts a hash once, with the times it holds it. Hashes are counted with partial sums
@@ -38,6 +39,7 @@ from rillstone.llm.common import WordHashes, Workspace, mixed, run_hashes
 RUN = 3
 LONGEST = 16
 MIN_WORDS = 10
+STRETCH = 16
 
 END = re.compile(r"(?<=[.!?])\s+|\s*\n\s*")
 WORD = re.compile(r"\S+\s*")
@@ -179,6 +181,10 @@ class Sentences:
         repeat = self.long & (~first | np.isin(self.spans, np.array(later, np.int64)))
         for k in range(self.run):
             marks[k : k + len(repeat)] |= repeat
+        edges = np.flatnonzero(np.diff(marks.astype(np.int8), prepend=0, append=0))
+        for a, b in zip(edges[::2], edges[1::2]):
+            if self.sizes[a:b].sum() < STRETCH:
+                marks[a:b] = False
         return marks
 
     def without(self, text: str, marks: np.ndarray) -> str:
@@ -287,6 +293,6 @@ def op10(docs: DataFrame) -> DataFrame:
     Columns: doc_id, first_doc_ids (where its repeats occur first), n_sentences, n_removed,
     words_removed, text.
     """
-    return cut(docs, touched_only=True).select(
+    return cut(docs, touched_only=True).where("n_removed > 0").select(
         F.col("row.doc_id").alias("doc_id"), "first_doc_ids", "n_sentences", "n_removed", "words_removed", "text"
     )

@@ -420,6 +420,10 @@ def plain_cut(texts):
                 gone |= {k, k + 1, k + 2}
             own.add(run)
             seen.setdefault(run, i)
+        for _, stretch in itertools.groupby(sorted(gone), key=lambda k, order=iter(range(len(parts))): k - next(order)):
+            stretch = list(stretch)
+            if sum(len(parts[k]) for k in stretch) < sentence_spans.STRETCH:
+                gone -= set(stretch)
         out[i] = ("".join(texts[i][a:b] for k, (a, b) in enumerate(zip(starts, s.ends)) if k not in gone), len(gone))
     return out
 
