@@ -91,12 +91,13 @@ class WordIds:
     """Ids of texts as the tokenizer gives them, with a dictionary of the words it has encoded.
 
     The tokenizer lower-cases, drops white space, and cuts a text into contractions, letters, digits
-    and the rest; no token spans a cut. Texts are cut at ASCII white space, and the words met before are looked up
-    whole. A new word of printable Latin characters without special strings is cut further as the
-    tokenizer does, so that only parts not met before reach the library; any other new word goes to it as it is.
+    and the rest; no token spans a cut. A text of printable Latin characters without special strings
+    is cut likewise here. Any other text is cut at white space only. Either kind of part is
+    encoded by the library once, and a text's ids are those of its parts in order.
     """
 
     OTHER = re.compile(r"[^\t\n\r -~¡-¬®-įı-ſ]")
+    LATIN = bytes([9, 10, 13, *range(32, 127), *range(0xA1, 0xAD), *range(0xAE, 0x100)])
     LETTERS = "a-zªµºÀ-ÖØ-öø-ſ"
     NUMBERS = "0-9²³¹¼½¾"
     CUT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^\\s{LETTERS}{NUMBERS}]+")
@@ -105,35 +106,34 @@ class WordIds:
         self.tokenizer = load_tokenizer(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.bare = without_cuts(self.tokenizer)
-        self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-
-    @staticmethod
-    def ids_of(tokenizer, texts: list[str]) -> list[bytes]:
-        return [array("i", e.ids).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def learn(self, words: list[bytes]) -> None:
-        cut, others = {}, []
-        for word in words:
-            text = word.decode()
-            if self.OTHER.search(text) or any(s in text for s in self.special):
-                others.append(word)
-            else:
-                cut[word] = self.CUT.findall(text.lower())
-        new = list(set().union(*cut.values()).difference(self.parts))
-        self.parts.update(zip(new, self.ids_of(self.bare, new)))
-        ids = self.parts.__getitem__
-        self.words.update((word, b"".join(map(ids, parts))) for word, parts in cut.items())
-        self.words.update(zip(others, self.ids_of(self.tokenizer, [w.decode() for w in others])))
+        self.known: dict[str | bytes, bytes] = {}
+
+    def ids_of(self, tokenizer, parts: list, texts: list[str]) -> None:
+        found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        self.known.update((p, array("i", e.ids).tobytes()) for p, e in zip(parts, found))
+
+    def parts(self, text: str) -> list:
+        if self.other(text) or any(s in text for s in self.special):
+            return text.encode().split()
+        return self.CUT.findall(text.lower())
+
+    def other(self, text: str) -> bool:
+        """Whether the text holds characters outside those that are cut here."""
+        try:
+            return bool(text.encode("latin-1").translate(None, self.LATIN))
+        except UnicodeEncodeError:
+            return self.OTHER.search(text) is not None
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [t.encode().split() for t in texts]
-        if len(self.words) + len(self.parts) > CACHED_WORDS:
-            self.words.clear()
-            self.parts.clear()
-        self.learn(list(set().union(*cut).difference(self.words)))
-        ids = self.words.__getitem__
-        return [b"".join(map(ids, words)) for words in cut]
+        cut = [self.parts(t) for t in texts]
+        if len(self.known) > CACHED_WORDS:
+            self.known.clear()
+        new = set().union(*cut).difference(self.known)
+        cuts, words = [p for p in new if isinstance(p, str)], [p for p in new if isinstance(p, bytes)]
+        self.ids_of(self.bare, cuts, cuts)
+        self.ids_of(self.tokenizer, words, [w.decode() for w in words])
+        ids = self.known.__getitem__
+        return [b"".join(map(ids, ps)) for ps in cut]
 
 
 def slices(batch: pa.RecordBatch, text: str | int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
