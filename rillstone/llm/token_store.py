@@ -18,8 +18,8 @@ import re
 import sys
 import types
 import zlib
-from array import array
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +28,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rillstone.llm.common import Workspace
+from rillstone.llm.latin_words import LatinWords
 
 END_ID = 2
 SLICE_CHARS = 2_000_000
 CACHED_WORDS = 600_000
+#: Words that are encoded in one call of the library, as lines of one text.
+LINES = 64
 
 #: Row groups and pages of a store, and encodings by column.
 LAYOUT = {
@@ -76,7 +79,7 @@ def load_tokenizer(path: str):
 
 
 def without_cuts(tokenizer):
-    """The tokenizer for parts that are already lower-cased and cut: it only writes bytes as letters."""
+    """The tokenizer for parts that are already lower-cased and cut, one a line: it only writes bytes as letters."""
     from tokenizers import Tokenizer
 
     rules = json.loads(tokenizer.to_str())
@@ -84,7 +87,25 @@ def without_cuts(tokenizer):
     kinds = [s["type"] for s in rules["normalizer"]["normalizers"]]
     if kinds != ["NFC", "Replace", "Lowercase"] or [s["type"] for s in steps] != ["Split", "ByteLevel"]:
         raise ValueError("this store's tokenizers lower-case, drop white space and merge bytes of words")
-    return Tokenizer.from_str(json.dumps(rules | {"normalizer": None, "pre_tokenizer": steps[1]}))
+    lines = {"type": "Split", "pattern": {"String": "\n"}, "behavior": "Removed", "invert": False}
+    steps = {"type": "Sequence", "pretokenizers": [lines, steps[1]]}
+    return Tokenizer.from_str(json.dumps(rules | {"normalizer": None, "pre_tokenizer": steps}))
+
+
+def last_tokens(tokenizer) -> np.ndarray:
+    """Of each id, whether its token ends a word; there is none where the model doesn't mark the ends."""
+    suffix = json.loads(tokenizer.to_str())["model"].get("end_of_word_suffix")
+    vocabulary = tokenizer.get_vocab()
+    last = np.zeros(max(vocabulary.values()) + 1, bool)
+    if suffix:
+        last[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+    return last
+
+
+def encode_each(tokenizer, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts, one after the other, and how many each has."""
+    found = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    return np.fromiter(chain.from_iterable(found), "<i4"), np.fromiter(map(len, found), np.int64, len(found))
 
 
 class WordIds:
@@ -92,8 +113,10 @@ class WordIds:
 
     The tokenizer lower-cases, drops white space, and cuts a text into contractions, letters, digits
     and the rest; no token spans a cut. A text of printable Latin characters without special strings
-    is cut likewise here. Any other text is cut at white space only. Either kind of part is
-    encoded by the library once, and a text's ids are those of its parts in order.
+    is cut likewise here, by its bytes where it has one for each character and no very wide word.
+    Any other text is cut at white space only. Either kind of part is encoded by the library once,
+    and a text's ids are those of its parts in order. Parts cut here go to the library as lines of
+    one text, where the tokens that end a word tell them apart.
     """
 
     OTHER = re.compile(r"[^\t\n\r -~¡-¬®-įı-ſ]")
@@ -106,35 +129,53 @@ class WordIds:
         self.tokenizer = load_tokenizer(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.bare = without_cuts(self.tokenizer)
+        self.last = last_tokens(self.bare)
+        self.latin = LatinWords(self.encode_lines)
         self.known: dict[str | bytes, bytes] = {}
 
-    def ids_of(self, tokenizer, parts: list, texts: list[str]) -> None:
-        found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        self.known.update((p, array("i", e.ids).tobytes()) for p, e in zip(parts, found))
+    def encode_lines(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        lines = ["\n".join(parts[i : i + LINES]) for i in range(0, len(parts), LINES)]
+        ids, _ = encode_each(self.bare, lines)
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != len(parts) or ends[-1] != len(ids):  # the model doesn't mark every word's end
+            return encode_each(self.bare, parts)
+        return ids, np.diff(ends, prepend=0)
+
+    def bytes_of(self, text: str) -> bytes | None:
+        """The lower-cased text, one byte a character, if it holds nothing but what is cut by bytes."""
+        try:
+            data = text.lower().encode("latin-1")
+        except UnicodeEncodeError:
+            return None
+        return None if data.translate(None, self.LATIN) or any(s in text for s in self.special) else data
 
     def parts(self, text: str) -> list:
-        if self.other(text) or any(s in text for s in self.special):
+        if self.OTHER.search(text) or any(s in text for s in self.special):
             return text.encode().split()
         return self.CUT.findall(text.lower())
 
-    def other(self, text: str) -> bool:
-        """Whether the text holds characters outside those that are cut here."""
-        try:
-            return bool(text.encode("latin-1").translate(None, self.LATIN))
-        except UnicodeEncodeError:
-            return self.OTHER.search(text) is not None
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def by_parts(self, texts: list[str]) -> list[bytes]:
         cut = [self.parts(t) for t in texts]
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
         new = set().union(*cut).difference(self.known)
         cuts, words = [p for p in new if isinstance(p, str)], [p for p in new if isinstance(p, bytes)]
-        self.ids_of(self.bare, cuts, cuts)
-        self.ids_of(self.tokenizer, words, [w.decode() for w in words])
+        for tokenizer, parts, strings in ((self.bare, cuts, cuts), (self.tokenizer, words, [w.decode() for w in words])):
+            found = tokenizer.encode_batch_fast(strings, add_special_tokens=False)
+            self.known.update((p, np.array(e.ids, "<i4").tobytes()) for p, e in zip(parts, found))
         ids = self.known.__getitem__
         return [b"".join(map(ids, ps)) for ps in cut]
 
+    def encode(self, texts: list[str]) -> list[bytes]:
+        if len(self.latin) + len(self.known) > CACHED_WORDS:
+            self.latin.clear()
+            self.known.clear()
+        plain = [self.bytes_of(t) for t in texts]
+        found = iter(self.latin.of([p for p in plain if p is not None]))
+        ids = [None if p is None else next(found) for p in plain]
+        left = [i for i, x in enumerate(ids) if x is None]
+        for i, x in zip(left, self.by_parts([texts[i] for i in left])):
+            ids[i] = x
+        return ids
+
 
 def slices(batch: pa.RecordBatch, text: str | int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Parts of a batch that hold a bounded number of characters, or one text."""

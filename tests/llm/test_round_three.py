@@ -17,7 +17,7 @@ from hypothesis import strategies as st
 from test_llm_operators import plain_components
 from tokenizers import Tokenizer
 
-from rillstone.llm import collocations, langid_crf, minhash_join, phrase_index, quality_ftrl, queries, token_alignment, token_store
+from rillstone.llm import collocations, langid_crf, latin_words, minhash_join, phrase_index, quality_ftrl, queries, token_alignment, token_store
 from rillstone.llm.common import Workspace
 from rillstone.llm.components import components
 from rillstone.llm.whole_tokens import byte_letters
@@ -350,3 +350,23 @@ def test_plain_components_agree_with_the_operator_on_the_rows(spark):
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     got = sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in minhash_join.op7(docs).collect())
     assert got == sorted(plain_components(texts, 3, 85))
+
+
+def test_words_cut_by_bytes_have_the_librarys_ids():
+    rng = random.Random(5)
+    pieces = ["'", "'s", "'re", "'ll", "'t", "'ve", "don't", "l", "e", "r", " ", "  ", "\n", "\t", "A", "É", "ß", "µ", "²", "½", "7", "12", ".",
+              "--", '"', "«", "\xad", "ÿ", "×", "x" * 32, "y" * 33, "<|ENDOFTEXT|>", "<|endoftext|>", "ſ", "日", "\xa0", "\x1c", "\0"]
+    texts = ["".join(rng.choices(pieces[: rng.choice([29, 29, len(pieces)])], k=rng.randint(0, 14))) for _ in range(6000)]
+    words = token_store.WordIds(queries.WORD_VOCABULARY)
+    found = [x for at in range(0, len(texts), 500) for x in words.encode(texts[at : at + 500])]
+    want = words.tokenizer.encode_batch(texts, add_special_tokens=False)
+    assert [np.frombuffer(x, "<i4").tolist() for x in found] == [e.ids for e in want]
+    assert len(words.latin) and words.known  # both ways were taken
+    assert words.encode([]) == [] and words.encode(["", " \n"]) == [b"", b""]
+
+
+def test_words_mixed_to_one_integer_are_told_apart(monkeypatch):
+    monkeypatch.setattr(latin_words, "MIX", np.zeros(4, np.uint64))
+    words = token_store.WordIds(queries.WORD_VOCABULARY)
+    want = [e.ids for e in words.tokenizer.encode_batch(["some words", "other words"], add_special_tokens=False)]
+    assert [np.frombuffer(x, "<i4").tolist() for x in words.encode(["some words", "other words"])] == want
