@@ -31,6 +31,9 @@ from pyspark.sql import types as T
 
 from rillstone.llm.token_store import CACHED_WORDS, id_lists, in_worker, slices
 
+#: Parts that are decoded in one call of the library.
+TOGETHER = 64
+
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # fixed values: kinds of pieces
 UNIGRAM, MERGES = 1, 2  # fixed values: kinds of models
@@ -158,7 +161,7 @@ class Pieces:
 
     WORD = re.compile(" *[^ ]+| +")
 
-    def __init__(self, message: bytes, threads: int):
+    def __init__(self, message: bytes, threads: int, returns: bool = False):
         import sentencepiece
 
         os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
@@ -170,6 +173,9 @@ class Pieces:
         self.mark = np.array([self.tokenizer.token_to_id(MARK) or self.model.unk_id], "<i4").tobytes()
         self.known: dict[str, bytes] = {}
         self.differ = set()
+        controls = [i for i, (_, _, kind) in enumerate(self.model.pieces) if kind == CONTROL]
+        self.between = np.array(controls[:1], "<i4").tobytes()
+        self.changed: set[str] | None = set() if returns and self.cut and controls else None
         names = [piece for piece, _, kind in self.model.pieces if kind in (UNKNOWN, CONTROL, BYTE)]
         self.named = re.compile("|".join(map(re.escape, names))) if names and self.model.kind == UNIGRAM else None
 
@@ -193,22 +199,54 @@ class Pieces:
         return self.WORD.findall(" " + text.replace(MARK, " ")) if self.cut else [text]
 
     def encode(self, texts: list[str]) -> tuple[list[bytes], list[bool]]:
-        cut = [self.parts(t) for t in texts]
+        return self.encode_parts([self.parts(t) for t in texts])
+
+    def encode_parts(self, cut: list[list[str]]) -> tuple[list[bytes], list[bool]]:
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
             self.differ.clear()
+            if self.changed:
+                self.changed.clear()
         new = list(set().union(*cut).difference(self.known))
         # the dummy prefix stands for the part's first space
         for part, (ids, same) in zip(new, self.whole([p[1:] for p in new] if self.cut else new)):
             self.known[part] = self.mark if part == " " and self.cut else ids
             if not same:
                 self.differ.add(part)
+        if self.changed is not None:
+            self.changed.update(self.not_returned(new))
         ids = self.known.__getitem__
         return (
             [b"".join(map(ids, ps)) for ps in cut],
             [self.differ.isdisjoint(ps) if self.differ else True for ps in cut],
         )
 
+    def not_returned(self, parts: list[str]) -> list[str]:
+        """Which parts their ids don't decode to; many are decoded at once, with a control piece between."""
+        groups = [parts[i : i + TOGETHER] for i in range(0, len(parts), TOGETHER)]
+        # the decoder strips a first space: the marker's, so that the part's own stays
+        joined = [np.frombuffer(self.mark + self.between.join(map(self.known.get, g)), "<i4").tolist() for g in groups]
+        name = self.model.pieces[int(np.frombuffer(self.between, "<i4")[0])][0]
+        whole = [name.join(g) for g in groups]
+        doubtful = [
+            p for g, w, b in zip(groups, whole, self.decode(joined)) if w != b or w.count(name) >= len(g) for p in g
+        ]
+        back = self.decode([np.frombuffer(self.mark + self.known[p], "<i4").tolist() for p in doubtful])
+        return [p for p, b in zip(doubtful, back) if p != b]
+
+    def returned(self, texts: list[str], cut: list[list[str]], ids: list[bytes]) -> list[bool]:
+        """Whether the ids of each text, as just encoded, decode to the text.
+
+        Decoding puts pieces one after the other, so a text whose parts all come back does too. Any other is decoded whole.
+        """
+        sure = [
+            self.changed is not None and MARK not in t and self.changed.isdisjoint(ps) for t, ps in zip(texts, cut)
+        ]
+        rest = [i for i, ok in enumerate(sure) if not ok]
+        for i, back in zip(rest, self.decode([np.frombuffer(ids[i], "<i4").tolist() for i in rest])):
+            sure[i] = back == texts[i]
+        return sure
+
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
 
@@ -219,9 +257,9 @@ def read_model(path: str) -> bytes:
         return file.read()
 
 
-def in_task(message: str, threads: int) -> Pieces:
+def in_task(message: str, threads: int, returns: bool = False) -> Pieces:
     raw = base64.b64decode(message)
-    return in_worker(("pieces", zlib.crc32(raw), threads), lambda: Pieces(raw, threads))
+    return in_worker(("pieces", zlib.crc32(raw), threads, returns), lambda: Pieces(raw, threads, returns))
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), threads: int = 2) -> DataFrame:
@@ -273,18 +311,18 @@ def op4(docs: DataFrame, path: str) -> DataFrame:
     names = ["doc_id", "n_tokens", "ids_crc32", "parity", "round_trip"]
 
     def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = in_task(message, 2)
+        pieces = in_task(message, 2, True)
         for batch in batches:
             for part, texts in slices(batch, "text"):
-                ids, same = pieces.encode(texts)
-                back = pieces.decode([np.frombuffer(i, "<i4").tolist() for i in ids])
+                cut = [pieces.parts(t) for t in texts]
+                ids, same = pieces.encode_parts(cut)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
                         pa.array([len(i) // 4 for i in ids], pa.int64()),
                         pa.array([zlib.crc32(i) for i in ids], pa.int64()),
                         pa.array(same, pa.bool_()),
-                        pa.array([a == b for a, b in zip(back, texts)], pa.bool_()),
+                        pa.array(pieces.returned(texts, cut, ids), pa.bool_()),
                     ],
                     names=names,
                 )

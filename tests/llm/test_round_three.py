@@ -17,7 +17,7 @@ from hypothesis import strategies as st
 from test_llm_operators import plain_components
 from tokenizers import Tokenizer
 
-from rillstone.llm import collocations, langid_crf, latin_words, minhash_join, phrase_index, quality_ftrl, queries, token_alignment, token_store
+from rillstone.llm import collocations, langid_crf, latin_words, minhash_join, phrase_index, quality_ftrl, queries, sentencepiece_backend, token_alignment, token_store
 from rillstone.llm.common import Workspace
 from rillstone.llm.components import components
 from rillstone.llm.whole_tokens import byte_letters
@@ -370,3 +370,16 @@ def test_words_mixed_to_one_integer_are_told_apart(monkeypatch):
     words = token_store.WordIds(queries.WORD_VOCABULARY)
     want = [e.ids for e in words.tokenizer.encode_batch(["some words", "other words"], add_special_tokens=False)]
     assert [np.frombuffer(x, "<i4").tolist() for x in words.encode(["some words", "other words"])] == want
+
+
+def test_texts_come_back_by_parts_as_they_do_whole():
+    pick = random.Random(3)
+    signs = [" ", "  ", "▁", "a", "word", "é", "日", "😀", "\n", "\t", "<0x41>", "<s>", "</s>", "<unk>", "​", "ﬁ", "\0", " x", "�"]
+    texts = ["", " ", "▁"] + ["".join(pick.choices(signs, k=pick.randint(0, 7))) for _ in range(6000)]
+    with open(queries.PIECES, "rb") as file:
+        pieces = sentencepiece_backend.Pieces(file.read(), 1, True)
+    cut = [pieces.parts(t) for t in texts]
+    ids, _ = pieces.encode_parts(cut)
+    back = pieces.decode([np.frombuffer(i, "<i4").tolist() for i in ids])
+    want = [a == b for a, b in zip(back, texts)]
+    assert pieces.returned(texts, cut, ids) == want and {True, False} == set(want)
