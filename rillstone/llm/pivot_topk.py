@@ -1,10 +1,14 @@
 """Exact top-k inner products by elimination with a pivot table.
 
-The distances of every vector to some pivots are computed once. For a query the triangle
-inequality bounds the distance to any candidate from below by the largest difference of their pivot
-distances, and so their inner product, (|q|^2 + |x|^2 - |q - x|^2) / 2, from above. Candidates
-are evaluated in the order of that bound until the k-th best exact score is beyond all bounds left. The
-scores with the pivots themselves, which are rows too, drop most candidates before any sorting.
+The distances of every vector to some pivots are computed once. By the triangle inequality each pivot bounds
+the distance of a query and a candidate from below. The distances to the pivots also fix where a vector's
+projection on the pivots' span lies, and how far the vector is from it, and so its distance to every point of that
+span: all of these serve as pivots, and the largest of their lower bounds is the distance of two points, each
+the projection with the remaining length as one more coordinate. The inner product, (|q|^2 + |x|^2 - |q - x|^2) / 2,
+is then at most that of these two points. The bounds of some queries and all candidates are one matrix product.
+
+Candidates are evaluated in the order of that bound, a growing number at a time, until the k-th best exact score is
+beyond all bounds left. The scores with the pivots themselves, which are rows too, drop many at the start.
 
 Rows are dealt to blocks and queries to blocks, and a task takes one block of each: it keeps
 k rows per query, of which the best k are kept in the end. Blocks have a fixed size, so memory doesn't
@@ -32,12 +36,18 @@ SCALE = 256
 EVERY = 50
 K = 5
 
-PIVOTS = 48
+PIVOTS = 56
 SAMPLE = 1024
 ROWS_PER_BLOCK = 8192
 QUERIES_PER_BLOCK = 8192
+QUERIES_AT_ONCE = 64
+FIRST = 64
 EXACT = 2**53
 
+# Share of the largest singular value under which a direction of the pivots is left out, and relative slack for rounding.
+DEPENDENT = 1e-4
+SLACK = 1e-9
+
 
 def scaled(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
     """vec_id, dim and the vector in whole numbers, as float64 bytes."""
@@ -79,9 +89,11 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(squares, 0))
 
 
-def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact inner products of whole-number rows with one vector, as int64."""
-    if not a.size or max(a.max(), -a.min()) * np.abs(b).max() * len(b) < EXACT:
+def products(a: np.ndarray, b: np.ndarray, largest: float | None = None) -> np.ndarray:
+    """Exact inner products of whole-number rows, none above `largest`, with one vector, as int64."""
+    if largest is None:
+        largest = np.abs(a).max(initial=0)
+    if not a.size or largest * np.abs(b).max() * len(b) < EXACT:
         return (a @ b).astype(np.int64)
     exact = [sum(int(x) * int(y) for x, y in zip(row, b)) for row in a]
     if any(abs(x) >= 2**63 for x in exact):
@@ -89,50 +101,71 @@ def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.array(exact, np.int64)
 
 
+class Pivots:
+    """Pivots, and what the distances to them tell of a vector."""
+
+    def __init__(self, points: np.ndarray):
+        self.points = points
+        self.squares = (points * points).sum(1)
+        u, s, _ = np.linalg.svd(points, full_matrices=False)
+        kept = s > DEPENDENT * s.max(initial=0)
+        self.combine = u[:, kept] / s[kept]
+
+    def corners(self, rows: np.ndarray) -> np.ndarray:
+        """Per row its projection's coordinates, the remaining length and a share of slack: the inner product
+        of two rows is at most that of their corners."""
+        squares = (rows * rows).sum(1)
+        table = distances(rows, self.points) ** 2
+        inner = (squares[:, None] + self.squares[None] - table) / 2
+        places = inner @ self.combine
+        # distances lose digits where pivots are longer than the vector
+        scale = np.sqrt(squares) + np.sqrt(self.squares.max(initial=0))
+        rest = np.sqrt(np.maximum(squares - (places * places).sum(1), 0) + SLACK * scale * scale)
+        return np.column_stack([places, rest, np.sqrt(SLACK) * scale])
+
+
 class Block:
-    """Candidates of one task: vectors, ids, lengths and pivot distances."""
+    """Candidates of one task: vectors, ids and corners."""
 
-    def __init__(self, ids: np.ndarray, points: np.ndarray, pivots: np.ndarray):
+    def __init__(self, ids: np.ndarray, points: np.ndarray, pivots: Pivots):
         order = np.argsort(ids, kind="stable")
-        self.ids, self.points = ids[order], points[order]
-        self.pivots = pivots
-        self.table = np.ascontiguousarray(distances(self.points, pivots).T)
-        self.squares = (self.points * self.points).sum(1)
-
-    def bounds(self, query: np.ndarray) -> np.ndarray:
-        """No inner product with the query is above these."""
-        square = query @ query
-        if not len(self.pivots):
-            return np.sqrt(square * self.squares) * (1 + 1e-9) + 1e-6
-        gap = np.abs(self.table - distances(query[None], self.pivots).T).max(axis=0)
-        both = square + self.squares
-        # distances carry rounding errors of about the root of the machine precision
-        return (both - np.maximum(gap - 1e-6 * np.sqrt(both) - 1e-3, 0) ** 2) / 2 + 1e-9 * both + 1e-6
-
-    def best(self, query_id: int, query: np.ndarray, k: int, at_least: float) -> tuple[np.ndarray, np.ndarray]:
-        """The k best (score, id): ids and scores."""
-        bounds = self.bounds(query)
-        open_rows = np.flatnonzero((bounds >= at_least) & (self.ids != query_id))
-        open_rows = open_rows[np.argsort(-bounds[open_rows], kind="stable")]
-        rows, scores = np.empty(0, np.int64), np.empty(0, np.int64)
-        at, step, whole = 0, 64, None
-        while at < len(open_rows):
-            if len(rows) == k and bounds[open_rows[at]] < scores[-1]:
-                break
-            more = open_rows[at : at + step]
-            if whole is None and 4 * len(more) > len(self.points):
-                whole = products(self.points, query)  # cheaper than to gather so many rows
-            found = products(self.points[more], query) if whole is None else whole[more]
-            if len(rows) == k:
-                good = found >= scores[-1]
-                more, found = more[good], found[good]
+        self.ids, self.points, self.pivots = ids[order], points[order], pivots
+        self.corners = np.ascontiguousarray(pivots.corners(self.points).T)
+        self.largest = np.abs(self.points).max(initial=0)
+        self.evaluated = 0
+
+    def bounds(self, queries: np.ndarray) -> np.ndarray:
+        """Per query and candidate a number that their inner product is not above."""
+        bounds = self.pivots.corners(queries) @ self.corners + 1e-6
+        bounds[np.isnan(bounds)] = np.inf
+        return bounds
+
+    def best(self, query_id: int, query: np.ndarray, bounds: np.ndarray, k: int, at_least: float) -> tuple[np.ndarray, np.ndarray]:
+        """The k best (score, id): ids and scores. The bounds of candidates that are done with become nan."""
+        bounds[np.searchsorted(self.ids, query_id) : np.searchsorted(self.ids, query_id, "right")] = np.nan
+        rows, scores, step = np.empty(0, np.int64), np.empty(0, np.int64), FIRST
+        while len(more := np.flatnonzero(bounds >= at_least)):
+            if len(more) > step:
+                more = more[np.argpartition(-bounds[more], step)[:step]]
+            bounds[more] = np.nan
+            self.evaluated += len(more)
             rows = np.concatenate([rows, more])
-            scores = np.concatenate([scores, found])
+            scores = np.concatenate([scores, products(self.points[more], query, self.largest)])
             keep = np.lexsort((rows, -scores))[:k]
             rows, scores = rows[keep], scores[keep]
-            at, step = at + step, step * 4
+            if len(rows) == k:
+                at_least = max(at_least, float(scores[-1]))
+            step *= 4
         return self.ids[rows], scores
 
+    def search(self, ids: np.ndarray, queries: np.ndarray, k: int, known: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Each query's place among the given ones, and the ids and scores of its k best candidates; `known` are the pivots' ids."""
+        for start in range(0, len(ids), QUERIES_AT_ONCE):
+            bounds = self.bounds(queries[start : start + QUERIES_AT_ONCE])
+            for at, row in enumerate(bounds, start):
+                seeds = np.sort(products(self.pivots.points[known != ids[at]], queries[at]))
+                yield at, *self.best(ids[at], queries[at], row, k, float(seeds[-k]) if len(seeds) >= k else -np.inf)
+
 
 def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, pivots: int = PIVOTS) -> DataFrame:
     """query_id, rank, vec_id, score for the queries, which are the ids divisible by `every`."""
@@ -166,13 +199,12 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, pivots: int = PIVO
             raw = table.column("vector").to_pylist()
             points = np.frombuffer(b"".join(raw)).reshape(len(raw), dim)
             pivot_ids, pivot_points = known.get(dim, (np.empty(0, int), np.empty((0, dim))))
-            block = Block(ids[~asks], points[~asks], pivot_points)
-            found = []
-            for query_id, query, vector in zip(ids[asks].tolist(), points[asks], np.array(raw, object)[asks]):
-                seeds = np.sort(products(pivot_points[pivot_ids != query_id], query))
-                at_least = float(seeds[-k]) if len(seeds) >= k else -np.inf
-                best, scores = block.best(query_id, query, k, at_least)
-                found += [(query_id, vector, int(i), int(s)) for i, s in zip(best, scores)]
+            block = Block(ids[~asks], points[~asks], Pivots(pivot_points))
+            vectors = np.array(raw, object)[asks]
+            found = [
+                (int(ids[asks][at]), vectors[at], int(i), int(s))
+                for at, best, scores in block.search(ids[asks], points[asks], k, pivot_ids) for i, s in zip(best, scores)
+            ]
             if found:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*found), (pa.int64(), pa.binary(), pa.int64(), pa.int64()))],

@@ -315,6 +315,31 @@ def test_large_numbers_stay_exact(spark):
     assert [(r["vec_id"], r["score"]) for r in got] == [(1, 2**60 + 3 * 2**16), (2, 2**60 + 2 * 2**16)]
 
 
+@pytest.mark.parametrize("kind", ["sphere", "few directions", "equal", "zero", "long pivots", "no pivots"])
+def test_bounds_hold_and_eliminate(kind):
+    random = np.random.default_rng(3)
+    points = random.normal(size=(600, 32))
+    points = np.floor(256 * points / np.linalg.norm(points, axis=1)[:, None])
+    if kind == "few directions":
+        points = np.floor(random.normal(size=(600, 4)) @ random.normal(size=(4, 32)) * 1000)
+    elif kind in ("equal", "zero"):
+        points = points * 0 + (kind == "equal") * points[:1]
+    pivots = points[:28] * (2**24 if kind == "long pivots" else 1)
+    if kind == "no pivots":
+        pivots = pivots[:0]
+    ids = np.arange(len(points))
+    block = pivot_topk.Block(ids, points, pivot_topk.Pivots(pivots))
+    queries = points[::20]
+    exact = queries @ points.T
+    assert (block.bounds(queries) >= exact).all()
+    for at, bounds in enumerate(block.bounds(queries)):
+        best, scores = block.best(20 * at, queries[at], bounds, 5, -np.inf)
+        want = sorted((-s, i) for i, s in enumerate(exact[at].astype(int).tolist()) if i != 20 * at)[:5]
+        assert [(-s, i) for i, s in zip(best.tolist(), scores.tolist())] == want
+    if kind in ("sphere", "few directions"):
+        assert block.evaluated < 0.4 * exact.size
+
+
 # 7: near duplicates
 
 
