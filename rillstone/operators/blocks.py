@@ -25,16 +25,17 @@ BLOCK = "__block"
 IS_ROW = "__is_row"
 HEAVY = "__heavy"
 
-# Keys that are cut at most; their table is sent to all executors, so this bounds its size.
-HEAVY_KEYS = 10_000
+# A key is cut only if it holds more than this share of all rows, so fewer than 10,000 keys are; their table is
+# sent to all executors. A key that stays whole is no larger than that share of the work.
+HEAVY_SHARE = 10_000
 
 
 @dataclass(frozen=True)
 class Blocks:
     """Blocks of `width` units of an integer column, the leading order column.
 
-    With `heavy_rows`, only keys with more rows than that are cut; all others stay whole, as in
-    a plain window, and need neither summaries nor seeds.
+    With `heavy_rows`, only keys with more rows than that, and more than a 10,000th of all rows, are cut; all
+    others stay whole, as in a plain window, and need neither summaries nor seeds.
     """
 
     column: str
@@ -48,8 +49,9 @@ class Blocks:
         """Add the block of every row, and whether its key is cut."""
         if self.heavy_rows is None or not keys:
             return df.withColumns({BLOCK: self.of(), HEAVY: F.lit(True)})
-        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > self.heavy_rows)
-        heavy = counts.orderBy(F.desc("__n"), *keys).limit(HEAVY_KEYS)
+        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+        total = counts.agg(F.sum("__n")).scalar()
+        heavy = counts.filter((F.col("__n") > self.heavy_rows) & (F.col("__n") * HEAVY_SHARE > total))
         heavy = heavy.select(*[F.col(k).alias(f"__heavy_{k}") for k in keys], F.lit(True).alias(HEAVY))
         # null is a key like any other
         same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__heavy_{k}")) for k in keys])
