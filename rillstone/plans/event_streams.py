@@ -122,7 +122,7 @@ def allowed_lateness_stream(spark, sf):
     def build(events):
         timed = ordered.behind_watermark(far_readings(events), "20 milliseconds")
         ended = timed.withColumn("window_end", F.expr(f"timestamp * 1000 - timestamp * 1000 % {DAY_MS} + {DAY_MS}"))
-        return with_state(ended, ["id", "window_end"], ordered.LatenessVersions(LATENESS_MS), "eventTime")
+        return with_state(ended, ["id"], ordered.LatenessVersions(LATENESS_MS), "eventTime")
 
     return arriving_late(spark, sf, build).drop("batch_id")
 
