@@ -13,7 +13,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.functions import PandasUDFType, pandas_udf, udtf
+from pyspark.sql.functions import PandasUDFType, arrow_udf, pandas_udf, udtf
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
@@ -164,33 +164,47 @@ PART_ROWS = 100_000
 
 
 def register_two_level(spark: SparkSession, name: str, agg: Accumulator) -> None:
-    """A user aggregate as two functions callable by name in SQL, for groups of any size.
+    """A user aggregate as three functions callable by name in SQL, for groups of any size.
 
-    `<name>_part(value)` folds some of a group's rows into a binary partial result,
-    `<name>_more(partial)` merges partial results into one, and `<name>(partial)` gives the value. `parted`
-    tells the parts that rows belong to. In a column of doubles a NaN reads as null.
+    Each gets what `collect_list` gathered of its groups: `<name>_part` folds values (in a struct each, so that nulls
+    count) into a binary partial result, `<name>_more` merges partial results into one, and `<name>` gives the
+    value. A call handles the lists of an Arrow batch, some thousands of groups; `parted` tells the parts that rows belong
+    to, which bounds a list. In a column of doubles a NaN reads as null.
     """
 
-    def part(values: pd.Series):
+    def lists(column: pa.Array) -> Iterator[list]:
+        """The values of every list, made Python values a list at a time."""
+        ends, values = column.offsets.to_pylist(), column.values
+        if pa.types.is_struct(values.type):
+            values = values.field(0)
+        for start, end in zip(ends, ends[1:]):
+            yield values.slice(start, end - start).to_pylist()
+
+    def folded(values: list) -> bytes:
         acc = agg.create()
         for v in values:
             acc = agg.add(acc, None if v is None or v != v else v)
         return pickle.dumps(acc)
 
-    def merged(partials: pd.Series) -> tuple:
+    def merged(partials: list) -> tuple:
         acc = agg.create()
         for p in partials:
             acc = agg.merge(acc, pickle.loads(p))
         return acc
 
-    def more(partials: pd.Series):
-        return pickle.dumps(merged(partials))
+    def part(column: pa.Array) -> pa.Array:
+        return pa.array(map(folded, lists(column)), pa.binary())
+
+    def more(column: pa.Array) -> pa.Array:
+        return pa.array((pickle.dumps(merged(p)) for p in lists(column)), pa.binary())
+
+    returns = to_arrow_schema(StructType.fromDDL(f"v {agg.returns}")).field(0).type
 
-    def result(partials: pd.Series):
-        return agg.result(merged(partials))
+    def result(column: pa.Array) -> pa.Array:
+        return pa.array((agg.result(merged(p)) for p in lists(column)), returns)
 
-    for suffix, fn, returns in (("_part", part, "binary"), ("_more", more, "binary"), ("", result, agg.returns)):
-        spark.udf.register(name + suffix, pandas_udf(fn, returns, PandasUDFType.GROUPED_AGG))
+    for suffix, fn, kind in (("_part", part, "binary"), ("_more", more, "binary"), ("", result, agg.returns)):
+        spark.udf.register(name + suffix, arrow_udf(fn, kind))
 
 
 def parted(df: DataFrame, rows: int = PART_ROWS) -> DataFrame:
@@ -201,9 +215,9 @@ def parted(df: DataFrame, rows: int = PART_ROWS) -> DataFrame:
 def two_level_sql(name: str, key: str, value: str, view: str, out: str, rows: int = PART_ROWS) -> str:
     """The SQL of a two-level aggregate over a view made by `parted`: parts, groups of parts, keys."""
     return (
-        f"select `{key}`, {name}(p) as `{out}` from ("
-        f"select `{key}`, {name}_more(p) as p from ("
-        f"select `{key}`, part, {name}_part(`{value}`) as p from {view} group by `{key}`, part"
+        f"select `{key}`, {name}(collect_list(p)) as `{out}` from ("
+        f"select `{key}`, {name}_more(collect_list(p)) as p from ("
+        f"select `{key}`, part, {name}_part(collect_list(struct(`{value}`))) as p from {view} group by `{key}`, part"
         f") group by `{key}`, part div {rows}) group by `{key}`"
     )
 
