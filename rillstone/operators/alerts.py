@@ -102,7 +102,8 @@ def rising_alerts(
     spans = kept(_run_spans(marks, key, time), "spans")
     repeating = F.col("last_rise") > F.col("start") + interval
     rises = marks.filter(F.col("rose") & ~F.col("closes")).select(*at, F.col(time).alias("t")).distinct()
-    rises = rises.join(spans.filter(repeating).select(*at), at, "left_semi")
+    # Written once: read twice below, where its joins and sorts would all meet in the tasks of one stage.
+    rises = kept(rises.join(spans.filter(repeating).select(*at), at, "left_semi"), "rises")
 
     reached = spans.filter(repeating).select(*at, F.col("start").alias("t"))
     jumps = kept(_next_rises(rises, at, interval), "jumps_0")
@@ -128,12 +129,11 @@ def _next_rises(rises: DataFrame, at: list[str], interval: int) -> DataFrame:
     Rises and timer ends are put in falling order of time, where the rise sought is the last
     one seen; a timer's end comes before a rise at the same moment.
     """
-    rise = rises.select(*at, (-F.col("t")).alias("back"), F.lit(1).alias("kind"),
-                        (-F.col("t")).alias("seen"), F.lit(None).cast("bigint").alias("t"))
-    end = rises.select(*at, (-F.col("t") - interval).alias("back"), F.lit(0).alias("kind"),
-                       F.lit(None).cast("bigint").alias("seen"), "t")
-    near = running(rise.unionByName(end), at, ["back", "kind"], Blocks("back", RISE_BLOCK),
-                   {"near": running_max(F.col("seen"))})
+    none = F.lit(None).cast("bigint")
+    rise = F.struct((-F.col("t")).alias("back"), F.lit(1).alias("kind"), (-F.col("t")).alias("seen"), none.alias("t"))
+    end = F.struct((-F.col("t") - interval).alias("back"), F.lit(0).alias("kind"), none.alias("seen"), F.col("t"))
+    both = rises.select(*at, F.inline(F.array(rise, end)))
+    near = running(both, at, ["back", "kind"], Blocks("back", RISE_BLOCK), {"near": running_max(F.col("seen"))})
     return near.filter("kind = 0 and near is not null").select(*at, "t", (-F.col("near")).alias("to"))
 
 
