@@ -44,8 +44,8 @@ FIRST = 2000
 BITMAP_BITS = 27
 QUOTIENT_BITS = 24
 HELD_WORDS = 500_000
-HELD_ENTRIES = 3_000_000
-SLICE_ENTRIES = 2_000_000
+HELD_ENTRIES = 1_000_000
+SLICE_ENTRIES = 1_000_000
 BUCKETS = 64
 
 BREAK = b"\xff"  # no byte of UTF-8
