@@ -25,17 +25,22 @@ BLOCK = "__block"
 IS_ROW = "__is_row"
 HEAVY = "__heavy"
 
-# A key is cut only if it holds more than this share of all rows, so fewer than 10,000 keys are; their table is
-# sent to all executors. A key that stays whole is no larger than that share of the work.
+# A key is cut only if its bucket holds more than this share of all rows, so fewer than 10,000 buckets are; their table
+# is sent to all executors. A key that stays whole is no larger than that share of the work.
 HEAVY_SHARE = 10_000
 
+# Rows are counted by a hash of their key into so many buckets, whose counts fit into every task's memory; the keys' own
+# counts may be as many as the rows.
+BUCKETS = 1 << 16
+BUCKET = "__bucket"
+
 
 @dataclass(frozen=True)
 class Blocks:
     """Blocks of `width` units of an integer column, the leading order column.
 
-    With `heavy_rows`, only keys with more rows than that, and more than a 10,000th of all rows, are cut; all
-    others stay whole, as in a plain window, and need neither summaries nor seeds.
+    With `heavy_rows`, only keys in buckets with more rows than that, and more than a 10,000th of all rows, are cut;
+    all others stay whole, as in a plain window, and need neither summaries nor seeds.
     """
 
     column: str
@@ -45,23 +50,19 @@ class Blocks:
     def of(self) -> Column:
         return F.expr(f"`{self.column}` div {self.width}L")
 
-    def cut(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
-        """Add the block of every row, and whether its key is cut."""
+    def heavy(self, df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
+        """The buckets whose keys are cut; None if all keys are. Every key with too many rows is in one of them."""
         if self.heavy_rows is None or not keys:
-            return df.withColumns({BLOCK: self.of(), HEAVY: F.lit(True)})
-        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+            return None
+        counts = df.groupBy(bucket_of(keys).alias(BUCKET)).agg(F.count(F.lit(1)).alias("__n"))
         total = counts.agg(F.sum("__n")).scalar()
-        heavy = counts.filter((F.col("__n") > self.heavy_rows) & (F.col("__n") * HEAVY_SHARE > total))
-        heavy = heavy.select(*[F.col(k).alias(f"__heavy_{k}") for k in keys], F.lit(True).alias(HEAVY))
-        # null is a key like any other
-        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__heavy_{k}")) for k in keys])
-        flagged = df.join(F.broadcast(heavy), same, "left").drop(*[f"__heavy_{k}" for k in keys])
-        return flagged.withColumns(
-            {
-                HEAVY: F.coalesce(F.col(HEAVY), F.lit(False)),
-                BLOCK: F.when(F.col(HEAVY), self.of()).otherwise(F.lit(0).cast("bigint")),
-            }
-        )
+        most = counts.filter((F.col("__n") > self.heavy_rows) & (F.col("__n") * HEAVY_SHARE > total))
+        return most.select(BUCKET, F.lit(True).alias(HEAVY))
+
+    def cut(self, df: DataFrame, keys: Sequence[str], heavy: DataFrame | None = None) -> DataFrame:
+        """Add the block of every row, and whether its key is cut."""
+        cut = flagged(df, keys, self.heavy(df, keys) if heavy is None else heavy)
+        return cut.withColumn(BLOCK, F.when(F.col(HEAVY), self.of()).otherwise(F.lit(0).cast("bigint")))
 
     @classmethod
     def fit(cls, df: DataFrame, column: str, rows: int = 1_000_000) -> Blocks:
@@ -81,6 +82,19 @@ class Blocks:
         return blocks
 
 
+def bucket_of(keys: Sequence[str]) -> Column:
+    # null is a key like any other
+    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS))
+
+
+def flagged(df: DataFrame, keys: Sequence[str], heavy: DataFrame | None) -> DataFrame:
+    """Add whether a row's key is cut."""
+    if heavy is None:
+        return df.withColumn(HEAVY, F.lit(True))
+    known = df.withColumn(BUCKET, bucket_of(keys)).join(F.broadcast(heavy), BUCKET, "left").drop(BUCKET)
+    return known.withColumn(HEAVY, F.coalesce(F.col(HEAVY), F.lit(False)))
+
+
 @dataclass(frozen=True)
 class Running:
     """A running aggregate.
@@ -131,32 +145,11 @@ def running(
     """
     keys = list(keys)
     slots = {name: f"__m{i}" for i, name in enumerate(measures)}
-    cut = blocks.cut(df, keys)
-
-    # A key in one block passes nothing on within these rows.
-    passing = cut if initial is not None else cut.filter(HEAVY)
-    summary = passing.groupBy(*keys, BLOCK).agg(*[m.part.alias(slots[n]) for n, m in measures.items()])
-    if initial is not None:
-        before = [F.col(n).alias(slots[n]) for n in measures]
-        summary = summary.unionByName(
-            initial.select(*keys, F.lit(None).cast("bigint").alias(BLOCK), *before)
-        )
-    # One row per (key, block): small, and bounded by the number of blocks for any key.
-    earlier = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    seeds = (
-        summary.select(
-            *keys,
-            BLOCK,
-            *[m.fold(F.col(slots[n])).over(earlier).alias(slots[n]) for n, m in measures.items()],
-            F.row_number().over(Window.partitionBy(*keys).orderBy(BLOCK)).alias("__earlier"),
-        )
-        .filter(F.col("__earlier") > 1)
-        .drop("__earlier")
-        .withColumn(IS_ROW, F.lit(False))
+    heavy = blocks.heavy(df, keys)
+    cut = blocks.cut(df, keys, heavy)
+    rows = with_slots(cut, measures, slots).withColumn(IS_ROW, F.lit(True)).unionByName(
+        seeds(cut, keys, measures, slots, heavy, initial).withColumn(IS_ROW, F.lit(False)), allowMissingColumns=True
     )
-    rows = cut.withColumns(
-        {IS_ROW: F.lit(True), **{slots[n]: m.row for n, m in measures.items()}}
-    ).unionByName(seeds, allowMissingColumns=True)
 
     window = Window.partitionBy(*keys, BLOCK).orderBy(IS_ROW, *order)
     upto = window.rowsBetween(Window.unboundedPreceding, 0)
@@ -172,6 +165,44 @@ def running(
     return folded.filter(IS_ROW).drop(IS_ROW)
 
 
+def with_slots(cut: DataFrame, measures: Mapping[str, Running], slots: Mapping[str, str]) -> DataFrame:
+    """Add what every row contributes to the measures."""
+    return cut.withColumns({slots[n]: m.row for n, m in measures.items()})
+
+
+def seeds(
+    cut: DataFrame, keys: Sequence[str], measures: Mapping[str, Running], slots: Mapping[str, str],
+    heavy: DataFrame | None = None, initial: DataFrame | None = None, cut_by: Sequence[str] | None = None,
+) -> DataFrame:
+    """What every block starts from: the folded partial results of the key's earlier blocks.
+
+    `cut` is what `Blocks.cut` gives for the keys in `cut_by` (`keys`, or some of them), `heavy` the buckets it went by.
+    """
+    # A key in one block passes nothing on within these rows: it starts from what came before them.
+    summary = cut.filter(HEAVY).groupBy(*keys, BLOCK).agg(*[m.part.alias(slots[n]) for n, m in measures.items()])
+    whole = None
+    if initial is not None:
+        given = initial.select(*keys, *[F.col(n).alias(slots[n]) for n in measures])
+        if heavy is not None:
+            given = flagged(given, cut_by or keys, heavy)
+            whole = given.filter(~F.col(HEAVY)).withColumn(BLOCK, F.lit(0).cast("bigint")).drop(HEAVY)
+            given = given.filter(HEAVY).drop(HEAVY)
+        summary = summary.unionByName(given.withColumn(BLOCK, F.lit(None).cast("bigint")))
+    # One row per (key, block): small, and bounded by the number of blocks for any key.
+    earlier = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    folded = (
+        summary.select(
+            *keys,
+            BLOCK,
+            *[m.fold(F.col(slots[n])).over(earlier).alias(slots[n]) for n, m in measures.items()],
+            F.row_number().over(Window.partitionBy(*keys).orderBy(BLOCK)).alias("__earlier"),
+        )
+        .filter(F.col("__earlier") > 1)
+        .drop("__earlier")
+    )
+    return folded if whole is None else folded.unionByName(whole)
+
+
 def running_state(
     df: DataFrame, keys: Sequence[str], measures: Mapping[str, Running], initial: DataFrame | None = None
 ) -> DataFrame:
@@ -204,31 +235,45 @@ def over_preceding(
     came before, as `preceding_state` gives them.
     """
     keys, order = list(keys), list(order)
-    cut = blocks.cut(df, keys)
-    held = _held(order, columns)
+    heavy = blocks.heavy(df, keys)
+    cut = blocks.cut(df, keys, heavy)
+    halo = halos(cut, keys, order, n, _held(order, columns), heavy, initial)
+    rows = cut.withColumn(IS_ROW, F.lit(True)).unionByName(
+        halo.withColumn(IS_ROW, F.lit(False)), allowMissingColumns=True
+    )
+    window = Window.partitionBy(*keys, BLOCK).orderBy(*order)
+    looked = rows.select(*df.columns, IS_ROW, *[fn(window).alias(a) for a, fn in exprs.items()])
+    return looked.filter(IS_ROW).drop(IS_ROW)
 
-    passing = cut if initial is not None else cut.filter(HEAVY)
-    tails = _tails(passing, [*keys, BLOCK], order, n, held)
+
+def halos(
+    cut: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, held: Sequence[str],
+    heavy: DataFrame | None = None, initial: DataFrame | None = None,
+) -> DataFrame:
+    """Copies of the n rows before every block of a key. `cut` and `heavy` as for `seeds`."""
+    keys = list(keys)
+    tails = _tails(cut.filter(HEAVY), [*keys, BLOCK], order, n, held)
     tails = tails.groupBy(*keys, BLOCK).agg(
         F.collect_list(F.struct(*held)).alias("__tail")  # at most n per group
     )
+    whole = None
     if initial is not None:
-        given = initial.groupBy(*keys).agg(F.collect_list(F.struct(*held)).alias("__tail"))
+        given = initial
+        if heavy is not None:
+            given = flagged(initial, keys, heavy)
+            whole = given.filter(~F.col(HEAVY)).withColumn(BLOCK, F.lit(0).cast("bigint"))
+            whole = whole.select(*keys, BLOCK, *[c for c in held if c not in keys])
+            given = given.filter(HEAVY)
+        given = given.groupBy(*keys).agg(F.collect_list(F.struct(*held)).alias("__tail"))
         tails = tails.unionByName(given.withColumn(BLOCK, F.lit(None).cast("bigint")))
     # Every block of a key holds a row, so its n predecessors lie in the n blocks before it.
     earlier = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(-n, -1)
     carried = F.flatten(F.collect_list("__tail").over(earlier))
     nearest = tails.select(*keys, BLOCK, F.slice(F.sort_array(carried, False), 1, n).alias("__near"))
-    halo = nearest.select(*keys, BLOCK, F.explode("__near").alias("__h")).select(
+    near = nearest.select(*keys, BLOCK, F.explode("__near").alias("__h")).select(
         *keys, BLOCK, *[F.col("__h")[c].alias(c) for c in held if c not in keys]
     )
-
-    rows = cut.withColumn(IS_ROW, F.lit(True)).unionByName(
-        halo.withColumn(IS_ROW, F.lit(False)), allowMissingColumns=True
-    )
-    window = Window.partitionBy(*keys, BLOCK).orderBy(*order)
-    looked = rows.select(*df.columns, IS_ROW, *[fn(window).alias(a) for a, fn in exprs.items()])
-    return looked.filter(IS_ROW).drop(IS_ROW)
+    return near if whole is None else near.unionByName(whole)
 
 
 def preceding_state(

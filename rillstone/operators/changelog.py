@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,11 +17,13 @@ def avg_count_measures(value: str) -> dict[str, Running]:
     return {"sum": running_sum(F.col(value)), "seen": running_sum(seen), "n": running_count()}
 
 
-def averages(df: DataFrame, key: str, value: str, order: str, blocks: Blocks, initial: DataFrame | None = None) -> DataFrame:
-    """(key, order, avg_temp, cnt) after every record."""
+def averages(
+    df: DataFrame, key: str, value: str, order: str, blocks: Blocks, initial: DataFrame | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
+    """(key, order, avg_temp, cnt) after every record, and those of the measures to keep."""
     state = running(df.select(key, order, value), [key], [order], blocks, avg_count_measures(value), initial)
     avg = F.col("sum") / F.nullif(F.col("seen"), F.lit(0))
-    return state.select(key, order, avg.alias("avg_temp"), F.col("n").alias("cnt"))
+    return state.select(key, order, avg.alias("avg_temp"), F.col("n").alias("cnt"), *keep)
 
 
 def changes_of(results: DataFrame, key: str, order: str, blocks: Blocks, sent: DataFrame | None = None) -> DataFrame:
@@ -53,5 +57,5 @@ def fold_changelog(changes: DataFrame, key: str, order: str) -> DataFrame:
 
     Every key that changes is added again at the same place of the order.
     """
-    last = F.max_by(F.struct("avg_temp", "cnt"), order).alias("last")
-    return changes.filter("op").groupBy(key).agg(last).select(key, "last.*")
+    # one aggregate a column: fixed-size values are hash-aggregated, structs sorted
+    return changes.filter("op").groupBy(key).agg(*[F.max_by(c, order).alias(c) for c in ("avg_temp", "cnt")])

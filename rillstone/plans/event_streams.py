@@ -18,12 +18,12 @@ from rillstone.plans.stream_jobs import end_row, replayed_in_parts
 from rillstone.plans.streams import arriving, sensor_stream
 from rillstone.schemas import EVENTS
 from rillstone.session import shared_dir
-from rillstone.sinks.writers import manifest_batch, read_manifest
+from rillstone.sinks.writers import manifest_batch, read_batches, read_manifest, table_batch
 from rillstone.sources import tables
 from rillstone.sources.tables import SEQ_BLOCKS
 from rillstone.streaming import ordered, pipelines
 from rillstone.streaming.carried import Carry, changelog_step, jump_step, resharded, run_carried, running_step, top_step
-from rillstone.streaming.runner import Replay, run_at_intervals, run_batches, with_state
+from rillstone.streaming.runner import Replay, open_replay, run_at_intervals, run_batches, with_state
 from rillstone.operators.blocks import running_count
 
 PARTS = 4
@@ -272,14 +272,21 @@ def job_sensor_functions_stream(spark, sf):
         hashes = rows(readings, "hash", F.lit(""), java_hash(F.col("id")))
         return hashes.unionByName(rows(words.lateral_split(readings, "id", "_", ["id"]), "words", F.col("word"), F.col("length")))
 
-    changes = arriving(spark, sf, changelog_step("id", "temperature", "seq", SEQ_BLOCKS), ["id"])
-    averages = changelog.fold_changelog(changes, "id", "seq")
     order = [F.desc("temperature"), F.asc("seq")]
-    sent = arriving(spark, sf, top_step("id", order, ["temperature", "seq"], 2, "temp_rank"), ["id"])
+    changing = changelog_step("id", "temperature", "seq", SEQ_BLOCKS)
+    leading = top_step("id", order, ["temperature", "seq"], 2, "temp_rank")
+    home = shared_dir(spark, "arriving")
+    for part in event_parts(spark, sf):  # each part is written once, and a micro-batch of all three streams
+        tables.spread(part, "event_id").write.mode("append").parquet(f"{home}/events")
+        readings = sensor_stream(spark, f"{home}/events").select("id", "seq", "temperature")
+        changes = run_carried(readings, changing, f"{home}/changes", ["id"])
+        sent = run_carried(readings, leading, f"{home}/top", ["id"])
+        run_batches(each(open_replay(spark, f"{home}/events", EVENTS)), table_batch(f"{home}/each/out"), f"{home}/each/checkpoint")
+    averages = changelog.fold_changelog(changes, "id", "seq")
     # a row sent again is the same row; the last state of a key is the first rows of all that were sent
     top = topn.top_n(sent.select("id", "temperature", "seq").distinct(), ["id"], order, 2, "temp_rank")
     return (
-        without_end(replayed_in_parts(spark, sf, each))
+        read_batches(spark, f"{home}/each/out", "part string, id string, word string, val double").drop("batch_id")
         .unionByName(rows(averages, "avg", F.lit(""), rounded("avg_temp")))
         .unionByName(rows(top, "top", F.col("temp_rank").cast("string"), F.col("temperature")))
     )

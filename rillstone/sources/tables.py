@@ -116,6 +116,11 @@ def in_parts(table: DataFrame, order: Column, parts: int) -> list[DataFrame]:
     ]
 
 
+def spread(rows: DataFrame, *columns: str) -> DataFrame:
+    """The rows dealt evenly over tasks, for input whose files have fewer pieces than there are cores."""
+    return rows.repartition(*[F.col(c) for c in columns])
+
+
 def replay_path(sf_dir: str, name: str) -> str:
     """The table as a streaming path. Written as a glob: a file source takes a folder or a
     glob, and this way the table may be one file or a folder."""

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rillstone.operators import alerts, late, rolling, topn
 from rillstone.operators.blocks import Blocks, Running, preceding_state, running, running_state
-from rillstone.operators.changelog import averages, avg_count_measures, changes_of
+from rillstone.operators.changelog import averages, changes_of
 from rillstone.session import file_names, read_text, remove, shared_dir, stored, write_text
 from rillstone.sinks.writers import table_batch
 
@@ -185,11 +185,10 @@ def changelog_step(key: str, value: str, order: str, blocks: Blocks) -> Step:
     def step(batch, before):
         past = None if before is None else before.select(key, *sums)
         last = None if before is None else before.select(key, order, *sent)
-        results = stored(averages(batch, key, value, order, blocks, past), "changelog")
-        ended = preceding_state(results, [key], [order], 1, list(sent), last).withColumnRenamed(key, "__key")
-        carry = running_state(batch, [key], avg_count_measures(value), past)
-        carry = carry.join(ended, F.col(key).eqNullSafe(F.col("__key"))).drop("__key")  # null is a key like any other
-        return changes_of(results, key, order, blocks, last), carry
+        results = stored(averages(batch, key, value, order, blocks, past, sums), "changelog")
+        # a key's last row holds all that its next rows start from
+        carry = preceding_state(results, [key], [order], 1, [*sums, *sent])
+        return changes_of(results.select(key, order, *sent), key, order, blocks, last), carry
 
     return step
 

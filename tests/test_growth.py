@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import glob
+
 from rillstone.functions import extensions
-from rillstone.operators import alerts
+from rillstone.operators import alerts, changelog
+from rillstone.operators.blocks import Blocks
+from rillstone.plans import event_streams
 from rillstone.plans.lateral import AverageParts
 from tests.conftest import rows
 
@@ -27,3 +31,32 @@ def test_next_rises_reads_its_rows_twice_and_joins_nothing(spark, tmp_path):
     near = alerts._next_rises(spark.read.parquet(str(tmp_path / "rises")), ["id", "run"], 5)
     assert rows(near, "t", "to") == [(10, 21), (12, 21), (15, 21), (21, 40)]
     assert plan_of(near).count("FileScan") <= 2
+
+
+def test_keys_are_counted_by_bucket_and_heavy_ones_are_cut(spark):
+    made = [(i % 2 and "hot" or f"k{i}", i) for i in range(2000)] + [(None, i) for i in range(2000, 2600)]
+    df = spark.createDataFrame(made, "id string, seq bigint")
+    blocks = Blocks("seq", 100, heavy_rows=500)
+    assert blocks.heavy(df, ["id"]).count() == 2
+    cut = blocks.cut(df, ["id"])
+    assert "hashpartitioning(id" not in plan_of(cut)  # the keys themselves are not shuffled to be counted
+    assert rows(cut.filter("__heavy").select("id").distinct()) == [(None,), ("hot",)]
+    assert cut.filter("__heavy").select("id", "__block").distinct().count() == 20 + 6
+
+
+def test_changelog_is_folded_without_a_sort(spark):
+    made = [("a", 1, True, 1.0, 1), ("a", 2, False, 1.0, 1), ("a", 2, True, 2.0, 2), ("b", 3, True, None, 1), (None, 4, True, 5.0, 1)]
+    changes = spark.createDataFrame(made, "id string, seq bigint, op boolean, avg_temp double, cnt bigint")
+    folded = changelog.fold_changelog(changes, "id", "seq")
+    assert "SortAggregate" not in plan_of(folded)
+    assert rows(folded) == [(None, 5.0, 1), ("a", 2.0, 2), ("b", None, 1)]
+
+
+def test_sensor_functions_write_the_arriving_rows_once(spark, sf):
+    def folders():
+        return set(glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/rillstone-arriving-*"))
+
+    before = folders()
+    got = event_streams.job_sensor_functions_stream(spark, sf)
+    assert len(folders() - before) == 1
+    assert got.count() == event_streams.CATALOG["job_sensor_functions"].run(spark, sf).count()
