@@ -4,23 +4,26 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from rillstone.operators import rolling
 from rillstone.operators.blocks import (
+    BLOCK,
+    halos,
     preceding_state,
-    running,
     running_count,
     running_max,
     running_state,
     running_sum,
+    seeds,
+    with_slots,
 )
 from rillstone.plans.catalog import SENSOR, WORDS, register, rounded, with_
 from rillstone.plans.event_windows import HOP_SQL, OVER_SQL, TOP_SQL, end_sql, min_by_sql, tumble_sql
 from rillstone.plans.scans import CHANGELOG_SQL
 from rillstone.plans.stateful import CLASSES, JUMP_SQL, SHARDS, STATE_KINDS_SQL, SUBTASK_SQL
 from rillstone.schemas import DOCUMENTS, EVENTS
-from rillstone.session import shared_dir, stored
+from rillstone.session import shared_dir
 from rillstone.sinks.writers import latest, read_batches, table_batch
 from rillstone.sources import tables
 from rillstone.sources.tables import SEQ_BLOCKS
@@ -55,7 +58,7 @@ def arriving(spark, sf, step, keys, rows=lambda df: df, order=None):
     of its own, and the state of the parts before reaches it through the carried table."""
     home = shared_dir(spark, "arriving")
     for part in tables.in_parts(tables.table(spark, sf, "events"), F.col("event_id") if order is None else order, PARTS):
-        part.write.mode("append").parquet(f"{home}/events")
+        tables.spread(part, "event_id").write.mode("append").parquet(f"{home}/events")
         out = run_carried(rows(sensor_stream(spark, f"{home}/events")), step, f"{home}/run", keys)
     return out
 
@@ -117,30 +120,53 @@ def hot_items_stream(spark, sf):
 @register("keyed_state_kinds_stream", STATE_KINDS_SQL)
 def state_kinds_stream(spark, sf):
     """All kinds of state at once, each carried from batch to batch."""
-
-    def step(batch, before):
-        parts = {name: None if before is None else before.filter(F.col("part") == name) for name in STATES}
-        per_id = running(batch, ["id"], ["seq"], SEQ_BLOCKS, id_measures(), parts["id"])
-        per_kind = running(stored(per_id, "kinds"), ["id", "kind"], ["seq"], SEQ_BLOCKS, kind_measures(), parts["kind"])
-        out = rolling.last_n_text(stored(per_kind, "kinds"), "id", "seq", SEQ_BLOCKS, 3, F.col("seq").cast("string"),
-                                  "last_seqs", parts["recent"])
-        with_text = batch.withColumn("__v", F.col("seq").cast("string"))
-        carry = {
-            "id": running_state(batch, ["id"], id_measures(), narrowed(parts["id"], "id", "n", "max_temp")),
-            "kind": running_state(batch, ["id", "kind"], kind_measures(),
-                                  narrowed(parts["kind"], "id", "kind", "kind_sum")),
-            "recent": preceding_state(with_text, ["id"], ["seq"], 2, ["__v"], parts["recent"]),
-        }
-        tagged = [state.withColumn("part", F.lit(name)) for name, state in carry.items()]
-        return out, reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
-
-    out = arriving(spark, sf, step, ["id"], lambda rows: rows.select("id", "seq", "kind", "temperature"))
+    out = arriving(spark, sf, kinds_step, ["id"], lambda rows: rows.select("id", "seq", "kind", "temperature"))
     return out.select("id", "seq", "kind", "n", rounded("kind_sum").alias("kind_sum"), "max_temp", "last_seqs")
 
 
+def kinds_step(batch, before):
+    parts = {name: None if before is None else before.filter(F.col("part") == name) for name in STATES}
+    with_text = batch.withColumn("__v", F.col("seq").cast("string"))
+    carry = {
+        "id": running_state(batch, ["id"], id_measures(), narrowed(parts["id"], "id", "n", "max_temp")),
+        "kind": running_state(batch, ["id", "kind"], kind_measures(),
+                              narrowed(parts["kind"], "id", "kind", "kind_sum")),
+        "recent": preceding_state(with_text, ["id"], ["seq"], 2, ["__v"], parts["recent"]),
+    }
+    tagged = [state.withColumn("part", F.lit(name)) for name, state in carry.items()]
+    return kinds_so_far(batch, parts), reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+
+
 STATES = ("id", "kind", "recent")
 
 
+def kinds_so_far(batch, parts):
+    """All states after every row. Ids are cut once, and what blocks start from is dealt with their rows, so that one
+    shuffle serves all windows."""
+    heavy = SEQ_BLOCKS.heavy(batch, ["id"])
+    cut = SEQ_BLOCKS.cut(batch, ["id"], heavy).withColumn("__v", F.col("seq").cast("string"))
+    by_id, by_kind = {"n": "__n", "max_temp": "__max"}, {"kind_sum": "__sum"}
+    rows = with_slots(with_slots(cut, id_measures(), by_id), kind_measures(), by_kind)
+    # what came before: folded values first, then the rows looked back at, then the rows themselves
+    for place, before in enumerate((
+        seeds(cut, ["id"], id_measures(), by_id, heavy, parts["id"]),
+        seeds(cut, ["id", "kind"], kind_measures(), by_kind, heavy, parts["kind"], cut_by=["id"]),
+        halos(cut, ["id"], ["seq"], 2, ["seq", "__v"], heavy, parts["recent"]),
+    )):
+        before = before.withColumn("__place", F.lit(place))
+        rows = (rows if place else rows.withColumn("__place", F.lit(3))).unionByName(before, allowMissingColumns=True)
+    dealt = rows.repartition("id", BLOCK)
+    per_id = Window.partitionBy("id", BLOCK).orderBy("__place", "seq")
+    per_kind = Window.partitionBy("id", BLOCK, "kind").orderBy("__place", "seq")
+    upto = (Window.unboundedPreceding, 0)
+    named = {n: m.fold(F.col(by_id[n])).over(per_id.rowsBetween(*upto)) for n, m in id_measures().items()}
+    # folded values have no text, and lists leave nulls out
+    named["last_seqs"] = F.concat_ws(",", F.collect_list("__v").over(per_id.rowsBetween(-2, 0)))
+    named |= {n: m.fold(F.col(by_kind[n])).over(per_kind.rowsBetween(*upto)) for n, m in kind_measures().items()}
+    out = dealt.select(*batch.columns, "__place", *[c.alias(n) for n, c in named.items()])
+    return out.filter("__place = 3").drop("__place")
+
+
 def id_measures():
     return {"n": running_count(), "max_temp": running_max(F.col("temperature"))}
 
