@@ -55,8 +55,10 @@ class Blocks:
         if self.heavy_rows is None or not keys:
             return None
         counts = df.groupBy(bucket_of(keys).alias(BUCKET)).agg(F.count(F.lit(1)).alias("__n"))
-        total = counts.agg(F.sum("__n")).scalar()
-        most = counts.filter((F.col("__n") > self.heavy_rows) & (F.col("__n") * HEAVY_SHARE > total))
+        # one row with all buckets, so that the rows are counted once and not again for their total
+        held = counts.agg(F.sum("__n").alias("__total"), F.collect_list(F.struct(BUCKET, "__n")).alias("__counts"))
+        counts = held.select("__total", F.inline("__counts"))
+        most = counts.filter((F.col("__n") > self.heavy_rows) & (F.col("__n") * HEAVY_SHARE > F.col("__total")))
         return most.select(BUCKET, F.lit(True).alias(HEAVY))
 
     def cut(self, df: DataFrame, keys: Sequence[str], heavy: DataFrame | None = None) -> DataFrame:

@@ -11,8 +11,9 @@ from rillstone.plans.catalog import BEHAVIOR, SENSOR, WORDS, register, rounded,
 from rillstone.sources import tables
 from rillstone.sources.tables import SEQ_BLOCKS
 
-# A document holds at most some thousands of words, which bounds a block of any one word.
-DOC_BLOCKS = Blocks("doc_id", 10_000)
+# A document holds at most some thousands of words, which bounds a block of any one word. Few words are frequent
+# enough to be cut; all others need no summaries.
+DOC_BLOCKS = Blocks("doc_id", 10_000, heavy_rows=1_000_000)
 
 
 @register("word_count", with_(WORDS) + "select word, count(*) as cnt from words group by word")

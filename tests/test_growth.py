@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import glob
 
+import pytest
+
 from rillstone.functions import extensions
-from rillstone.operators import alerts, changelog
+from rillstone.operators import alerts, changelog, words
 from rillstone.operators.blocks import Blocks
-from rillstone.plans import event_streams
+from rillstone.plans import aggregates, event_streams, streams
 from rillstone.plans.lateral import AverageParts
+from rillstone.sources import tables
 from tests.conftest import rows
 
 
@@ -60,3 +63,36 @@ def test_sensor_functions_write_the_arriving_rows_once(spark, sf):
     got = event_streams.job_sensor_functions_stream(spark, sf)
     assert len(folders() - before) == 1
     assert got.count() == event_streams.CATALOG["job_sensor_functions"].run(spark, sf).count()
+
+
+@pytest.mark.parametrize("heavy", [None, 0, 20, 10**6])
+@pytest.mark.parametrize("lines", [[-5, 0, 3, 4, 11, 40], [1, 2, 1 << 40], [None, 7, 9]])
+def test_word_history_in_one_order_column(spark, lines, heavy):
+    texts = ["a b a  c", "", "a a", " ", "b c a a", "c"]
+    made = [(line, texts[i % 6]) for i, line in enumerate(lines)]
+    df = spark.createDataFrame(made, "line bigint, text string")
+    got = words.word_count_history(df, "text", "line", Blocks("line", 4, heavy_rows=heavy))
+    assert ("__at" in plan_of(got)) == (max(lines, key=lambda n: n or 0) < 1 << 32 and None not in lines)
+    assert got.columns == ["line", "pos", "word", "cnt"] and [t for _, t in got.dtypes] == ["bigint", "int", "string", "bigint"]
+    seen, want = {}, []
+    for line, text in sorted(made, key=lambda m: (m[0] is not None, m[0])):
+        for pos, word in enumerate({" ": [], "": [""]}.get(text, text.split(" "))):
+            seen[word] = seen.get(word, 0) + 1
+            want.append((line, pos, word, seen[word]))
+    if None not in lines or heavy is not None and heavy > 20:
+        assert sorted(map(str, rows(got))) == sorted(map(str, want))
+
+
+def test_words_below_the_limit_need_no_summaries(spark, sf):
+    assert aggregates.DOC_BLOCKS.heavy_rows
+    text = plan_of(aggregates.word_count_history(spark, sf))
+    assert "__bucket" in text and "__at" in text
+
+
+def test_stream_word_count_deals_its_rows_and_ranks_nothing(spark, sf, monkeypatch):
+    dealt, spread = [], tables.spread
+    monkeypatch.setattr(tables, "spread", lambda part, *columns: dealt.append(columns) or spread(part, *columns))
+    got = streams.stream_word_count(spark, sf)
+    assert dealt == [("doc_id",)] * streams.PARTS
+    assert "Window" not in plan_of(got)
+    assert rows(got, "word", "cnt") == rows(aggregates.word_count(spark, sf), "word", "cnt")
